@@ -6,7 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, table
-from loomgraph.llm import bpe, mixture, overlap
+from loomgraph.llm import bpe, canonical, markup, mixture, overlap
+
+
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    triples = table(spark, d, "kg_triples").select("row_id", "relation", "value")
+    return canonical.map_values(triples, table(spark, d, "canon_values"), table(spark, d, "rule_terms"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    entries = table(spark, d, "canon_values").select("relation", F.col("canonical").alias("value")).distinct()
+    return _mapped(spark, d).join(F.broadcast(entries), ["relation", "value"], "left_anti").select("row_id", "canonical_id")  # a fixed list
+
+
+def p2_report(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and distinct values per entry, and per relation those that fit none (canonical_id 0)."""
+    return _mapped(spark, d).groupBy("relation", "canonical_id").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("value").alias("n_values"))
+
+
+def _residue(spark: SparkSession, d: str) -> DataFrame:
+    parts = [
+        markup.residue(table(spark, d, name).select(F.lit(name).alias("source_table"), F.col(key).alias("row_id"), F.col(text).alias("text")), ["source_table", "row_id"])
+        for name, key, text in (("documents", "doc_id", "text"), ("kg_triples", "row_id", "value"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _residue(spark, d).select("source_table", "row_id", "kind")
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The text of every row with markup, without it; one row each."""
+    return _residue(spark, d).groupBy("source_table", "row_id").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), F.first("clean").alias("text"))  # at most four kinds
 
 
 def _audiences(spark: SparkSession, d: str) -> DataFrame:
@@ -34,7 +66,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture_shares(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares)}
 
 WHITE = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _P7 = f"""
