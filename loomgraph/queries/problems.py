@@ -60,7 +60,7 @@ orphans AS (
   SELECT r.*, (SELECT count(*) FROM parents p WHERE p.key = r.key) AS n_any,
          (SELECT count(*) FROM parents p WHERE p.key = r.key AND p.valid_from <= r.moment) AS n_begun
   FROM refs r WHERE r.key IS NOT NULL AND NOT EXISTS (
-    SELECT 1 FROM parents p WHERE p.key = r.key AND p.valid_from <= r.at AND (p.valid_to IS NULL OR p.valid_to > r.moment)))
+    SELECT 1 FROM parents p WHERE p.key = r.key AND p.valid_from <= r.moment AND (p.valid_to IS NULL OR p.valid_to > r.moment)))
 """
 _READ = f"""
 WITH base AS (
