@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, table
-from loomgraph.llm import bpe, canonical, markup, mixture, overlap
+from loomgraph.llm import bpe, canonical, garble, markup, mixture, overlap
 
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,15 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture_shares(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return garble.garbled(table(spark, d, "documents"), fill_lost=False).select("doc_id")
+
+
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garble.garbled(table(spark, d, "documents")).select("doc_id", "restored")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares, p10_found, p10_restored)}
 
 WHITE = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _P7 = f"""
