@@ -6,7 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, table
-from loomgraph.llm import bpe, canonical, garble, markup, mixture, overlap
+from loomgraph.llm import bpe, canonical, garble, markup, mixture, names, overlap
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    people = ["hasAuthor", "hasDirector"]
+    return names.name_groups(table(spark, d, "kg_triples").filter(F.col("relation").isin("hasBrand", *people)).select("relation", "value"), people)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variant_pairs(_names(spark, d))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The group of every spelling, and how many spellings it has."""
+    groups = _names(spark, d)
+    sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_spellings"), F.min("value").alias("name"))
+    return groups.join(sizes, "group_id").select("relation", "value", F.col("name").alias("group_name"), "n_spellings")
 
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
@@ -74,7 +90,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return garble.garbled(table(spark, d, "documents")).select("doc_id", "restored")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares, p10_found, p10_restored)}
 
 WHITE = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _P7 = f"""
