@@ -77,3 +77,25 @@ def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
         .filter(F.col("n") * share > F.col("total"))
         .select(key, F.ceil(F.col("n") * share / F.col("total")).cast("int").alias("salts"))
     )
+
+
+def components(edges: DataFrame, label: str = "components") -> DataFrame:
+    """node, component of an undirected graph: component is the smallest node of each connected part, nodes without edges are left out.
+
+    edges: a, b of one orderable type. Smallest-neighbour labels with pointer jumping: the number of rounds grows with the logarithm of
+    a part's diameter. Each round is written to the shared folder, so lineage stays short. A node of many neighbours is aggregated with
+    partial sums, never gathered.
+    """
+    both = materialize(edges.select("a", "b").filter("a <> b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b")).distinct(), label)
+    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "node"), label)
+    while True:
+        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("least")).withColumnRenamed("a", "node")
+        hooked = labels.join(near, "node").select("node", "component", F.least("component", "least").alias("to"))
+        # the component's own label may have sunk in this round: jump to it
+        jumped = hooked.join(hooked.select(F.col("node").alias("n2"), F.col("to").alias("t2")), F.col("to") == F.col("n2"), "left").select(
+            "node", F.coalesce(F.least("to", "t2"), F.col("to")).alias("component"), F.col("component").alias("before")
+        )
+        done = materialize(jumped, label)
+        labels = done.select("node", "component")
+        if done.filter("component <> before").isEmpty():
+            return labels
