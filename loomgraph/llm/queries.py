@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, table
-from loomgraph.llm import bpe, canonical, garble, markup, mixture, names, overlap
+from loomgraph.llm import bpe, canonical, garble, listings, markup, mixture, names, overlap
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
@@ -57,6 +57,28 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return _residue(spark, d).groupBy("source_table", "row_id").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), F.first("clean").alias("text"))  # at most four kinds
 
 
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    link = table(spark, d, "kg_link").select(norm_id("product_id").alias("product_id"), "product_name", "loaded_at").filter("product_id IS NOT NULL")
+    text = table(spark, d, "kg_text").select(norm_id("product_id").alias("product_id"), "text", "loaded_at").filter("product_id IS NOT NULL AND text IS NOT NULL")
+    latest = lambda c: F.max_by(c, F.struct(F.col(c).isNotNull(), F.col("loaded_at"), F.col(c)))
+    products = link.groupBy("product_id").agg(latest("product_name").alias("title"))
+    texts = text.groupBy("product_id").agg(latest("text").alias("text"))
+    listed = products.join(texts, "product_id", "full").select("product_id", F.coalesce("title", F.substring_index("text", " . ", 1)).alias("title"), F.substring_index("text", " . ", -1).alias("text"))
+    taxonomy = table(spark, d, "kg_triples").filter("relation = 'hasSubtype'").select(F.col("value").alias("kind"))
+    return listings.item_groups(listed, taxonomy, table(spark, d, "canon_values"), table(spark, d, "rule_terms"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return listings.item_pairs(_items(spark, d))
+
+
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The group of every listing, named by its first product, and its size."""
+    g = _items(spark, d)
+    sizes = g.groupBy("group_id").agg(F.min("product_id").alias("first_product"), F.count_distinct("product_id").alias("n_products"))
+    return g.join(sizes, "group_id").select("product_id", "first_product", "n_products")
+
+
 def _audiences(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "interactions").select(norm_id("item").alias("set_id"), norm_id("user").alias("member"))
     return overlap.overlaps(t)
@@ -90,7 +112,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return garble.garbled(table(spark, d, "documents")).select("doc_id", "restored")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_report, p5_found, p5_clean, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_report, p5_found, p5_clean, p6_found, p6_groups, p7_found, p7_overlaps, p8_ids, p9_mixture, p9_shares, p10_found, p10_restored)}
 
 WHITE = r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _P7 = f"""
