@@ -111,3 +111,8 @@ def py_repair(s: str) -> str:
 
 def py_clean(s: str) -> str:
     return py_collapse(py_unescape(py_repair(unicodedata.normalize("NFKC", s))))
+
+
+def tidy_values(col: Column) -> Column:
+    """Values with white space collapsed, without nulls and empty ones."""
+    return F.filter(F.transform(col, collapse), lambda v: v.isNotNull() & (v != ""))

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,7 +96,7 @@ def python(col: Column, f: Callable[[list[str]], list[str]]) -> Column:
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda vs: None if vs is None else f([v for v in vs if v is not None]))
 
-    return run(col)
+    return run.asNondeterministic()(col)  # so the optimiser neither repeats nor moves it
 
 
 def python_each(col: Column, f: Callable[[str], list[str] | str | None]) -> Column:
@@ -114,7 +114,7 @@ def python_each(col: Column, f: Callable[[str], list[str] | str | None]) -> Colu
 
         return s.map(lambda vs: None if vs is None else [x for v in vs if v is not None for x in one(v)])
 
-    return run(col)
+    return run.asNondeterministic()(col)
 
 
 def literal_map(table: dict[str, Any], kind: str) -> Column:
@@ -481,7 +481,7 @@ def _(col, p, env):
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda vs: None if vs is None else [{"parent": a, "child": b} for a, b in lex.subtypes([v for v in vs if v is not None], types, nested, most)])
 
-    pairs = run(col)
+    pairs = run.asNondeterministic()(col)
     return Result(
         F.transform(pairs, lambda s: s["child"]), None, F.transform(pairs, lambda s: F.struct(s["parent"].alias("parent"), F.lit(relation).alias("relation"), s["child"].alias("child")))
     )
@@ -531,12 +531,11 @@ def apply(col: Column, name: str, params: dict[str, Any], env: Env) -> Result:
     return Result(tidy(got.values), got.sides, got.taxonomy)
 
 
-def run(col: Column, pipeline: list[Any], env: Env) -> Result:
-    """All operators of a pipeline without learned ones, then the first value of each comparison key."""
-    sides, taxonomy = [], []
+def run(df: DataFrame, column: str, pipeline: list[Any], env: Env) -> DataFrame:
+    """``column`` after all operators of a pipeline (learned ones change nothing): the first value of each comparison key.
+
+    Each operator is a projection of its own, so that one that needs Python is never drawn into a lambda of the next.
+    """
     for name, params in filter(None, map(step, pipeline)):
-        got = apply(col, name, params, env)
-        col = got.values
-        sides += [got.sides] if got.sides is not None else []
-        taxonomy += [got.taxonomy] if got.taxonomy is not None else []
-    return Result(distinct_by(col, tx.match_key), F.concat(*sides) if sides else None, F.concat(*taxonomy) if taxonomy else None)
+        df = df.withColumn(column, apply(F.col(column), name, params, env).values)
+    return df.withColumn(column, distinct_by(F.col(column), tx.match_key))
