@@ -10,7 +10,7 @@ from loomgraph.functions.text import match_key
 
 def atoms(v: Column) -> Column:
     """Parts at , ; or | of two letters or more, if there is more than one; else the value itself."""
-    parts = F.filter(F.transform(F.split(v, "[,;|]"), F.trim), lambda p: F.length(p) >= 2)
+    parts = F.filter(F.transform(F.split(v, "[,;|]"), lambda p: F.trim(p)), lambda p: F.length(p) >= 2)
     return F.when(F.size(parts) > 1, parts).otherwise(F.array(v))
 
 

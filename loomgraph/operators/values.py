@@ -228,7 +228,7 @@ def _(col, p, env):
     role = r"\(([^)]{2,30})\)\s*$"
 
     def keep(v: Column) -> Column:
-        pieces = F.filter(F.transform(F.split(v, ","), F.trim), lambda s: s.rlike(role))
+        pieces = F.filter(F.transform(F.split(v, ","), lambda s: F.trim(s)), lambda s: s.rlike(role))
         named = F.filter(pieces, lambda s: F.lower(F.trim(F.regexp_extract(s, role, 1))).isin(wanted))
         return F.when(F.contains(v, F.lit("(")) & (F.size(pieces) > 0), F.transform(named, lambda s: F.regexp_replace(s, role, ""))).otherwise(F.array(v))
 
