@@ -137,16 +137,37 @@ def spread(col: Column, f: Callable[[Column], Column]) -> Column:
 # cleaning
 
 
+def _repair(v: str) -> str:
+    import unicodedata
+
+    return v if v.isascii() else tx.py_repair(unicodedata.normalize("NFKC", v))
+
+
+#: Operators on single values that need Python; neighbours of a pipeline run in one UDF.
+PURE: dict[str, Callable[[str], str]] = {"strip_html": tx.py_unescape, "fix_encoding": _repair}
+
+
+def chained(names: list[str]) -> Callable[[str], str | None]:
+    steps = [PURE[n] for n in names]
+
+    def run(v: str) -> str | None:
+        for f in steps:
+            v = tx.py_collapse(f(v))
+            if not v:
+                return None
+        return v
+
+    return run
+
+
 @op("strip_html")
 def _(col, p, env):
-    return python_each(col, tx.py_unescape)
+    return python_each(col, PURE["strip_html"])
 
 
 @op("fix_encoding")
 def _(col, p, env):
-    import unicodedata
-
-    return python_each(col, lambda v: tx.py_repair(unicodedata.normalize("NFKC", v)))
+    return python_each(col, PURE["fix_encoding"])
 
 
 @op("collapse_ws")
@@ -531,11 +552,26 @@ def apply(col: Column, name: str, params: dict[str, Any], env: Env) -> Result:
     return Result(tidy(got.values), got.sides, got.taxonomy)
 
 
-def run(df: DataFrame, column: str, pipeline: list[Any], env: Env) -> DataFrame:
-    """``column`` after all operators of a pipeline (learned ones change nothing): the first value of each comparison key.
+def steps(df: DataFrame, column: str, pipeline: list[Any], env: Env) -> DataFrame:
+    """``column`` after all operators of a pipeline that has no learned ones.
 
-    Each operator is a projection of its own, so that one that needs Python is never drawn into a lambda of the next.
+    Each operator is a projection of its own, so that one that needs Python is never drawn into a lambda of the next; neighbours that
+    need Python for single values share one UDF.
     """
-    for name, params in filter(None, map(step, pipeline)):
-        df = df.withColumn(column, apply(F.col(column), name, params, env).values)
-    return df.withColumn(column, distinct_by(F.col(column), tx.match_key))
+    todo = list(filter(None, map(step, pipeline)))
+    while todo:
+        pure = 0
+        while pure < len(todo) and todo[pure][0] in PURE:
+            pure += 1
+        if pure > 1:
+            df = df.withColumn(column, python_each(F.col(column), chained([n for n, _ in todo[:pure]])))
+        else:
+            pure = 1
+            df = df.withColumn(column, apply(F.col(column), *todo[0], env).values)
+        todo = todo[pure:]
+    return df
+
+
+def run(df: DataFrame, column: str, pipeline: list[Any], env: Env) -> DataFrame:
+    """``column`` after all operators of a pipeline (learned ones change nothing): the first value of each comparison key."""
+    return steps(df, column, pipeline, env).withColumn(column, distinct_by(F.col(column), tx.match_key))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomgraph.common import materialize
 from loomgraph.functions.text import collapse, match_key
 from loomgraph.operators import learn
-from loomgraph.operators.values import LEARNED, STRONG, WEAK, Env, apply, distinct_by, python_each, split_by, spread, step
+from loomgraph.operators.values import LEARNED, STRONG, WEAK, Env, apply, distinct_by, python_each, split_by, spread, step, steps
 from loomgraph.plans.config import Plan, RelationPlan
 from loomgraph.sources.records import from_sources
 
@@ -46,7 +46,7 @@ def taps(rows: DataFrame, r: RelationPlan, env: Env) -> list[DataFrame]:
     def tap(name: str, c: Column) -> DataFrame:
         return rows.select("ord", c.alias("c")).select(F.lit(r.name).alias("relation"), F.lit(name).alias("tap"), F.explode("c").alias("value"), "ord")
 
-    for name, params in filter(None, map(step, r.pipeline)):
+    for name, params in filter(None, map(step, r.ops)):
         if name == "min_support":
             out.append(tap("support", col))
         elif name in LEARNED:
@@ -143,7 +143,7 @@ def relation_values(rows: DataFrame, r: RelationPlan, env: Env, known: Learned |
     """(pid, ord, vals), side triples (pid, ord, relation, value), taxonomy (parent, relation, child) of one relation in the second pass."""
     sides: list[DataFrame] = []
     taxonomy: list[DataFrame] = []
-    for name, params in filter(None, map(step, r.pipeline)):
+    for name, params in filter(None, map(step, r.ops)):
         if name == "match_learned":
             if known is None:
                 return rows.limit(0), None, None
@@ -270,10 +270,16 @@ def build(products: DataFrame, plan: Plan, single_pass: bool = False) -> Graph:
     Products without an id are dropped, those without a title unless the plan keeps them, and those with fewer triples than
     min_relations (counted before repeated ones go). All products, dropped ones too, take part in what is learned.
     """
-    products = products.filter("pid IS NOT NULL AND pid <> ''")
+    products = materialize(products.filter("pid IS NOT NULL AND pid <> ''"), "flat")  # every relation reads it
     known = None
-    # both passes read these values; one partition per relation
     every_value = materialize(reduce(DataFrame.unionByName, [raw_values(products, r).withColumn("of", F.lit(r.name)) for r in plan.relations]), "raw", ["of"])
+    groups: dict[str, list[RelationPlan]] = {}
+    for r in plan.relations:
+        groups.setdefault(repr(r.pre_ops), []).append(r)
+    cleaned = [
+        steps(every_value.filter(F.col("of").isin([r.name for r in rs])), "vals", rs[0].pre_ops, plan.env(rs[0].name)).filter(F.size("vals") > 0) for rs in groups.values()
+    ]  # relations with the same preparation are prepared together, once for both passes
+    every_value = materialize(reduce(DataFrame.unionByName, cleaned), "cleaned", ["of"])
     raw = {r.name: every_value.filter(F.col("of") == r.name).drop("of") for r in plan.relations}
     if plan.two_passes and not single_pass:
         counted = [t for r in plan.relations for t in taps(raw[r.name], r, plan.env(r.name))]
