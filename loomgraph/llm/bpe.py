@@ -106,7 +106,7 @@ class PairIndexBpe:
                     else:
                         index[q] = [h]
                         heapq.heappush(active, q)
-        ends = [*starts[1:], n]
+        ends = [*starts[1:], n] if words else []
         return [[s for s in sym[a : b - 1] if s >= 0] for a, b in zip(starts, ends, strict=True)]
 
     @property

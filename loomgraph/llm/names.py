@@ -163,9 +163,11 @@ def parsed(values: DataFrame, people: list[str]) -> DataFrame:
     stats = words.groupBy(person.alias("person"), "word").agg(F.count(F.lit(1)).alias("df"), F.sum(first.cast("int")).alias("firsts"))
     joined = words.withColumn("person", person).join(stats, ["person", "word"])
     gathered = joined.groupBy("relation", "value", "before").agg(F.collect_list(F.struct("pos", "word", "df", "firsts")).alias("stats"))  # the words of one name
-    return gathered.select("relation", "value", "before", "stats").mapInArrow(
-        lambda it: _parse(it, people), "relation string, value string, core string, other string, middle string, partial boolean"
-    )
+    schema = "relation string, value string, core string, other string, middle string, partial boolean"
+    named = gathered.select("relation", "value", "before", "stats").mapInArrow(lambda it: _parse(it, people), schema)
+    blank = F.lit("")
+    wordless = names.filter(F.size("words") == 0).select("relation", "value", blank.alias("core"), blank.alias("other"), blank.alias("middle"), F.lit(False).alias("partial"))
+    return named.unionByName(wordless)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +175,8 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for a, c, core_a, core_b, other_a, other_b in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
+            if other_a[-2:-1] == " " == other_b[-2:-1] and other_a != other_b:
+                continue  # different middle initials
             if lcs_ratio(f"{core_a} {other_a}", f"{core_b} {other_b}") >= LEAST_RATIO and edits(core_a, core_b, 1) + edits(other_a, other_b, 1) <= 1:
                 rows.append((a, c))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["a", "b"])
