@@ -60,7 +60,7 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
 def _items(spark: SparkSession, d: str) -> DataFrame:
     link = table(spark, d, "kg_link").select(norm_id("product_id").alias("product_id"), "product_name", "loaded_at").filter("product_id IS NOT NULL")
     text = table(spark, d, "kg_text").select(norm_id("product_id").alias("product_id"), "text", "loaded_at").filter("product_id IS NOT NULL AND text IS NOT NULL")
-    latest = lambda c: F.max_by(c, F.struct(F.col(c).isNotNull(), F.col("loaded_at"), F.col(c)))
+    latest = lambda c: F.max_by(c, F.struct(F.col(c).isNotNull(), F.col("loaded_at"), F.xxhash64(c)))
     products = link.groupBy("product_id").agg(latest("product_name").alias("title"))
     texts = text.groupBy("product_id").agg(latest("text").alias("text"))
     listed = products.join(texts, "product_id", "full").select("product_id", F.coalesce("title", F.substring_index("text", " . ", 1)).alias("title"), F.substring_index("text", " . ", -1).alias("text"))
