@@ -185,15 +185,17 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_keys(keys: DataFrame) -> DataFrame:
     """a, b of similar keys. keys: key, relation, core, other.
 
-    The index holds every suffix of the core from LEAST_SUFFIX letters on, and the other field whole with the first letters of the core,
-    for slips in the last letters of the core. A suffix that more than BLOCK keys share is refined with the other field; only
-    refined blocks that are still larger are left to longer suffixes.
+    The index holds every suffix of the core from LEAST_SUFFIX letters on. A suffix that more than BLOCK keys share is refined with the
+    other field; only refined blocks that are still larger are left to longer suffixes. For slips in the last letters the index
+    holds the suffixes of the core read backwards too, refined from the start.
     """
     suffixes = F.transform(F.sequence(F.lit(LEAST_SUFFIX), F.length("core")), lambda n: F.substr("core", F.length("core") - n + 1))
     suffix = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(suffixes).alias("block"))
     counted = suffix.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
     blocks = suffix.join(counted.filter("n > 1"), ["relation", "block"]).withColumn("block", F.when(F.col("n") > BLOCK, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")))
-    whole = keys.filter("other <> ''").withColumn("block", F.concat_ws("\x1e", "other", F.left("core", F.lit(3))))
+    starts = F.transform(F.sequence(F.lit(LEAST_SUFFIX - 1), F.greatest(F.lit(LEAST_SUFFIX - 1), F.length("core") - 1)), lambda n: F.left("core", n))
+    mirrored = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(starts).alias("start")).filter(F.length("start") >= F.when(F.col("other") == "", LEAST_SUFFIX).otherwise(LEAST_SUFFIX - 1))
+    whole = mirrored.withColumn("block", F.concat_ws("\x1e", "other", "start")).drop("start")
     blocks = materialize(blocks.drop("n").unionByName(whole), "blocks")
     sizes = blocks.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(2, BLOCK))
     held = blocks.join(sizes.drop("n"), ["relation", "block"])
