@@ -307,6 +307,16 @@ def build(products: DataFrame, plan: Plan, single_pass: bool = False) -> Graph:
     return Graph(kg, link, text, image, edges, known)
 
 
-def report(graph: Graph) -> DataFrame:
-    """relation, triples, distinct_values of the graph."""
-    return graph.kg.groupBy("relation").agg(F.count(F.lit(1)).alias("triples"), F.count_distinct("value").alias("distinct_values"))
+def report(graph: Graph, raw: DataFrame | None = None) -> DataFrame:
+    """relation, triples, distinct_values, distinct_keys, and with raw (relation, value as read) distinct_raw and the reduction in per cent."""
+    out = graph.kg.groupBy("relation").agg(F.count(F.lit(1)).alias("triples"), F.count_distinct("value").alias("distinct_values"), F.count_distinct(match_key(F.col("value"))).alias("distinct_keys"))
+    if raw is None:
+        return out
+    before = raw.groupBy("relation").agg(F.count_distinct("value").alias("distinct_raw"))
+    return out.join(before, "relation", "left").withColumn("reduction", 100 * (1 - F.col("distinct_values") / F.col("distinct_raw")))
+
+
+def write_tables(known: Learned, path: str) -> None:
+    """The learned tables as JSON lines, one folder each, so that a stream or a later run can apply them."""
+    for name in ("canon", "prefix", "surname", "plural", "splits"):
+        getattr(known, name).write.mode("overwrite").json(f"{path}/{name}")

@@ -89,3 +89,23 @@ def write_report(df: DataFrame, path: str) -> None:
     rows = [r.asDict() for r in df.limit(100_000).collect()]
     with open(path, "w", encoding="utf-8") as f:
         json.dump(rows, f, ensure_ascii=False, indent=1, default=str)
+
+
+def latex_half_matrix(pairs: DataFrame, value: str, categories: list[str], form: str = "{:.1f}", scale: float = 1.0) -> str:
+    """The upper triangle of a table of pairs of categories as the rows of a LaTeX table; pairs without a value get a dash."""
+    known = {(r.category_a, r.category_b): r[value] for r in pairs.select("category_a", "category_b", value).filter(F.col("category_a").isin(categories) & F.col("category_b").isin(categories)).collect()}
+    lines = []
+    for i, a in enumerate(categories[:-1]):
+        cells = ["" if j <= i else "--" if (v := known.get(tuple(sorted((a, b))))) is None else form.format(v * scale) for j, b in enumerate(categories) if j]
+        lines.append(" & ".join([a.replace("_", r"\_").replace("&", r"\&"), *cells]) + r" \\")
+    return "\n".join(lines)
+
+
+def external_subset(targets: DataFrame, current: DataFrame, legacy: DataFrame) -> DataFrame:
+    """Records of the wanted ids (product_id): from the current source, what is missing there from the legacy one, the first record of each (by row)."""
+    wanted = targets.select("product_id").distinct()
+    now = current.join(wanted, "product_id", "left_semi")
+    old = legacy.join(wanted, "product_id", "left_semi").join(now.select("product_id").distinct(), "product_id", "left_anti")
+    both = now.withColumn("_source", F.lit(0)).unionByName(old.withColumn("_source", F.lit(1)), allowMissingColumns=True)
+    first = both.groupBy("product_id").agg(F.min(F.struct("_source", "row")).alias("_first"))
+    return both.join(first, "product_id").filter((F.col("_source") == F.col("_first._source")) & (F.col("row") == F.col("_first.row"))).drop("_source", "_first")

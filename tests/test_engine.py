@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.operators import audit, graph, interactions, profile
-from loomgraph.plans.build import build, images
+from loomgraph.plans.build import build, images, report, write_tables
 from loomgraph.plans.config import Config, ConfigError, merged
 from loomgraph.sources import records
 from loomgraph.sources.exports import ntriples, recommender_files, write_tsv
@@ -37,7 +37,7 @@ def products(spark, records_=RECORDS):
     return df.select(F.get_json_object("json", "$.parent_asin").alias("pid"), "ord", records.flat(F.col("json"), ["Shape"]).alias("flat"), F.from_json(F.get_json_object("json", "$.images"), "array<map<string,string>>").alias("images"))
 
 
-def test_two_pass_build(spark):
+def test_two_pass_build(spark, tmp_path):
     cfg = Config.parse(CONFIG)
     assert cfg.validate() == ["Toys.hasNothing: no sources"] or cfg.validate() == []
     g = build(products(spark), cfg.plan("Toys"))
@@ -47,6 +47,10 @@ def test_two_pass_build(spark):
     assert ("A2", "hasGenre", "Thriller") in kg and ("A1", "hasAudio", "Dolby") in kg and ("A1", "hasArtist", "Nora Bell") in kg
     assert not any(r == "hasArtistTitle" for _, r, _ in kg) and ("A1", "hasStyle", "Red") not in kg
     assert {p for p, _, _ in kg} == {"A1", "A2", "A3", "A4", "A5"}  # A6 has no title
+    write_tables(g.learned, str(tmp_path / "tables"))
+    assert spark.read.json(str(tmp_path / "tables/canon")).filter("value = 'Acme Toys'").first().target == "ACME Toys"
+    raw = spark.createDataFrame([("hasBrand", v) for v in ("ACME Toys", "acme toys", "Acme")], "relation string, value string")
+    assert {r.relation: r.reduction for r in report(g, raw).collect()}["hasBrand"] > 60
     link = {r.product_id: r for r in g.link.collect()}
     assert link["A2"].subject == "Cup ##A2" and link["A2"].n_homonyms == 3
     assert {r.product_id: r.text for r in g.text.collect()}["A1"] == "Red Mug by Nora Bell . fine mug"
