@@ -48,7 +48,7 @@ def test_two_pass_build(spark, tmp_path):
     assert not any(r == "hasArtistTitle" for _, r, _ in kg) and ("A1", "hasStyle", "Red") not in kg
     assert {p for p, _, _ in kg} == {"A1", "A2", "A3", "A4", "A5"}  # A6 has no title
     write_tables(g.learned, str(tmp_path / "tables"))
-    assert spark.read.json(str(tmp_path / "tables/canon")).filter("value = 'Acme Toys'").first().target == "ACME Toys"
+    assert spark.read.json(str(tmp_path / "tables/canon")).filter("value = 'ACME Toys'").first().target == "Acme Toys"
     raw = spark.createDataFrame([("hasBrand", v) for v in ("ACME Toys", "acme toys", "Acme")], "relation string, value string")
     assert {r.relation: r.reduction for r in report(g, raw).collect()}["hasBrand"] > 60
     link = {r.product_id: r for r in g.link.collect()}
