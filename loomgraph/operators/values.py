@@ -47,8 +47,6 @@ class Env:
         at: Any = self.rules
         for part in (path or "").split("."):
             at = at.get(part) if isinstance(at, dict) else None
-        if kind is list and isinstance(at, dict):
-            return list(at)
         return at if isinstance(at, kind) else kind()
 
 

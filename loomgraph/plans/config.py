@@ -143,12 +143,23 @@ class Config:
                 )
             )
         part = lambda k: merged(defaults.get(k) or {}, whole.get(k) or {})
-        persons = Env(self.rules).rule(whole.get("person_rules") or defaults.get("person_rules"), dict)
+        persons = self.person_rules(whole.get("person_rules") or defaults.get("person_rules") or [])
         return Plan(
             category, relations, self.rules, persons, part("subject"), part("text"), part("image"), defaults.get("id_field", "parent_asin"),
             bool(defaults.get("drop_products_without_subject", True)), int(whole.get("min_relations", defaults.get("min_relations", 0)) or 0),
         )
 
+    def person_rules(self, paths: str | list[str]) -> dict[str, Any]:
+        """The rules for persons of one or several rule tables: later aliases replace earlier ones, lists add up."""
+        out: dict[str, Any] = {"person_mappings": {}}
+        for path in [paths] if isinstance(paths, str) else paths:
+            for k, v in Env(self.rules).rule(str(path), dict).items():
+                if k == "person_mappings":
+                    out[k] = out[k] | (v or {})
+                elif k.startswith("person_"):
+                    out[k] = [*out.get(k, []), *(v or [])]
+        return out
+
     def validate(self) -> list[str]:
         """Problems: unknown operations, relations without sources, references to rules that lead nowhere, circles."""
         out = []
