@@ -71,12 +71,9 @@ def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
     salts is the number of parts of total/share rows that the key's rows make.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .filter(F.col("n") * share > F.col("total"))
-        .select(key, F.ceil(F.col("n") * share / F.col("total")).cast("int").alias("salts"))
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    part = F.col("n") * share / total
+    return counts.filter(part > 1).select(key, F.ceil(part).cast("int").alias("salts"))
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
