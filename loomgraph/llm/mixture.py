@@ -29,9 +29,9 @@ def rates(counts: DataFrame, targets: DataFrame, total_tokens: int | None = None
     per = counts.groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"))
     known = targets.join(per, "source", "left").fillna(0, ["source_tokens"])
     size = F.min(F.when(F.col("source_tokens") > 0, F.col("max_repeats") * F.col("source_tokens") / F.col("target_share")))
-    total = known.agg((F.lit(float(total_tokens)) if total_tokens is not None else size).alias("total"))
-    rate = F.least(F.col("max_repeats").cast("double"), F.col("target_share") * F.col("total") / F.col("source_tokens"))
-    return known.crossJoin(F.broadcast(total)).select(  # total is one row
+    total = F.lit(float(total_tokens)) if total_tokens is not None else known.agg(size).scalar()
+    rate = F.least(F.col("max_repeats").cast("double"), F.col("target_share") * total / F.col("source_tokens"))
+    return known.select(
         "source", "target_share", "max_repeats", "source_tokens", F.when(F.col("source_tokens") > 0, rate).otherwise(0.0).alias("rate")
     )
 
@@ -65,8 +65,8 @@ def mixture_shares(documents: DataFrame, targets: DataFrame, seed: int = 42, tot
     used = counts.join(F.broadcast(r.select("source", "rate")), "source").withColumn("copies", copies(seed))
     per = used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"), F.sum("copies").alias("mixed_records"))
     out = r.join(F.broadcast(per), "source", "left").fillna(0, ["mixed_tokens", "mixed_records"])  # one row a source
-    total = out.agg(F.nullif(F.sum("mixed_tokens"), F.lit(0)).alias("total"))
-    return out.crossJoin(F.broadcast(total)).select(
-        "source", "target_share", (F.col("mixed_tokens") / F.col("total")).alias("actual_share"),
+    total = out.agg(F.nullif(F.sum("mixed_tokens"), F.lit(0))).scalar()
+    return out.select(
+        "source", "target_share", (F.col("mixed_tokens") / total).alias("actual_share"),
         "rate", "source_tokens", "mixed_tokens", "mixed_records",
     )
