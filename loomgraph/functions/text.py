@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import html
 import re
 import unicodedata
@@ -84,7 +83,6 @@ def py_collapse(s: str) -> str:
     return " ".join(re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", " ", s).split())
 
 
-@functools.lru_cache(maxsize=100_000)
 def py_key(s: str) -> str:
     folded = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", s))
     letters = (c for c in folded if unicodedata.category(c) != "Mn")

@@ -117,33 +117,47 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*ROW).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]).alias("vals"))
 
 
-def apply_learned(rows: DataFrame, relation: str, name: str, params: dict, known: Learned) -> DataFrame:
-    """One learned operator in the second pass."""
+def _replaced(x: DataFrame, relation: str, name: str, params: dict, known: Learned) -> DataFrame:
+    """One learned operator on rows of pid, ord, pos (array of int, for the order), value."""
     of = lambda t: t.filter(F.col("relation") == relation).drop("relation")
-    x = _exploded(rows)
+    with_target = lambda y: y.select(*ROW, "pos", F.coalesce("target", "value").alias("value"))
+    deeper = lambda y, parts: y.select(*ROW, "pos", F.posexplode(parts).alias("i", "value")).select(*ROW, F.concat("pos", F.array("i")).alias("pos"), "value")
     if name == "split_smart":
-        strong, min_len = list(params.get("strong", STRONG)), int(params.get("min_len", 3))
-        parts = x.select(*ROW, "pos", F.posexplode(split_by(F.col("value"), strong, min_len)).alias("part", "value"))
-        got = parts.join(of(known.splits), "value", "left")
-        spread = got.select(*ROW, F.struct("pos", "part").alias("a"), F.posexplode(F.coalesce("fragments", F.array("value"))).alias("b", "value"))
-        return _gathered(spread.select(*ROW, F.struct("a", "b").alias("pos"), "value"))
+        parts = deeper(x, split_by(F.col("value"), list(params.get("strong", STRONG)), int(params.get("min_len", 3))))
+        return deeper(parts.join(of(known.splits), "value", "left"), F.coalesce("fragments", F.array("value")))
     if name == "fold_partial_names":
         single = F.when(~F.contains(F.trim("value"), F.lit(" ")), match_key(F.col("value")))
-        got = x.withColumn("k", single).join(of(known.surname), "k", "left")
-        return _gathered(got.select(*ROW, "pos", F.coalesce("target", "value").alias("value")))
+        return with_target(x.withColumn("k", single).join(of(known.surname), "k", "left"))
     if name == "min_support":
-        got = x.join(of(known.support).select("value", "n"), "value").filter(F.col("n") >= int(params.get("n", 2)))
-        return _gathered(got.select(*ROW, "pos", "value"))
+        return x.join(of(known.support).filter(F.col("n") >= int(params.get("n", 2))).select("value"), "value", "left_semi").select(*ROW, "pos", "value")
     table = {"canon_by_freq": known.canon, "fold_by_prefix": known.prefix, "fold_plural": known.plural}[name]
-    got = x.join(of(table), "value", "left")
-    return _gathered(got.select(*ROW, "pos", F.coalesce("target", "value").alias("value")))
+    return with_target(x.join(of(table), "value", "left"))
+
+
+def apply_learned(rows: DataFrame, relation: str, steps_: list[tuple[str, dict]], known: Learned) -> DataFrame:
+    """Neighbouring learned operators of a pipeline in the second pass: rows are taken apart and put together once for all of them."""
+    x = _exploded(rows).select(*ROW, F.array("pos").alias("pos"), "value")
+    for name, params in steps_:
+        x = _replaced(x, relation, name, params, known)
+    return _gathered(x)
 
 
 def relation_values(rows: DataFrame, r: RelationPlan, env: Env, known: Learned | None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """(pid, ord, vals), side triples (pid, ord, relation, value), taxonomy (parent, relation, child) of one relation in the second pass."""
     sides: list[DataFrame] = []
     taxonomy: list[DataFrame] = []
+    waiting: list[tuple[str, dict]] = []
+
+    def flushed(df: DataFrame) -> DataFrame:
+        out = apply_learned(df, r.name, list(waiting), known) if waiting and known is not None else df
+        waiting.clear()
+        return out
+
     for name, params in filter(None, map(step, r.ops)):
+        if name in LEARNED or _evidence(name, params):
+            waiting.append((name, params))
+            continue
+        rows = flushed(rows)
         if name == "match_learned":
             if known is None:
                 return rows.limit(0), None, None
@@ -151,9 +165,6 @@ def relation_values(rows: DataFrame, r: RelationPlan, env: Env, known: Learned |
             terms = learn.vocabulary(source, [], int(params.get("min_count", 3)), int(params.get("max_len", 40)))
             text = rows.select(*ROW, F.array_join("vals", " ; ").alias("text"))
             rows = _gathered(learn.find_vocabulary(text, [], terms, ROW, max_terms=int(params.get("max_terms", 2))))
-        elif name in LEARNED or _evidence(name, params):
-            if known is not None:
-                rows = apply_learned(rows, r.name, name, params, known)
         else:
             got = apply(F.col("vals"), name, params, env)
             if got.sides is not None:
@@ -161,6 +172,7 @@ def relation_values(rows: DataFrame, r: RelationPlan, env: Env, known: Learned |
             if got.taxonomy is not None:
                 taxonomy.append(rows.select(got.taxonomy.alias("t")).select(F.explode("t").alias("t")).select("t.parent", "t.relation", "t.child"))
             rows = rows.withColumn("vals", got.values)
+    rows = flushed(rows)
     rows = rows.withColumn("vals", distinct_by(F.col("vals"), match_key)).filter(F.size("vals") > 0)
     union = lambda xs: reduce(DataFrame.unionByName, xs) if xs else None
     return rows, union(sides), union(taxonomy)
