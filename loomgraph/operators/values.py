@@ -27,6 +27,7 @@ MAP_LITERAL = 48
 #: Operators that count in a first pass and apply what was learned in a second.
 LEARNED = ("canon_by_freq", "fold_by_prefix", "fold_partial_names", "fold_plural", "min_support")
 
+#: Separators, words that stay small in titles, and words for yes and no (fixed values).
 SEPARATORS = [",", ";", "|", "/", " & ", " and ", "•"]
 STRONG, WEAK = [";", "|", "•"], [" & ", " and ", " + ", "/", ","]
 SMALL_WORDS = "a an and the of or for in on at to by with from de du des la le les et".split()
