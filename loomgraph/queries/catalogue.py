@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, subject_id, table
 from loomgraph.functions import text as tx
 from loomgraph.operators import audit, graph, interactions, learn, profile
-from loomgraph.operators.values import Env, apply, distinct_by, split_by
-from loomgraph.plans.build import build
-from loomgraph.plans.config import Config
+from loomgraph.operators.values import Env, apply
+from loomgraph.plans.build import between_relations, build, images, texts
+from loomgraph.plans.config import Config, Plan
 from loomgraph.sources.exports import ntriples
 from loomgraph.sources.records import flat, from_sources
 
@@ -450,6 +450,63 @@ def seed_summary(spark, d):
     return s.select("event_type", "runs", F.round("mean", 6).alias("mean"), F.round("deviation", 6).alias("deviation"))
 
 
+def _plan(**relations: dict) -> Plan:
+    return Config({"categories": {"X": {"relations": {k: {"sources": ["x"], **v} for k, v in relations.items()}}}}).plan("X")
+
+
+def _triples(spark, d, *relations: str) -> DataFrame:
+    t = table(spark, d, "kg_triples").filter(F.col("relation").isin(*relations) & F.col("value").isNotNull())
+    return t.select(subject_id("subject").alias("pid"), "relation", "value", "row_id").filter("pid IS NOT NULL")
+
+
+_SRC = f"t AS (SELECT {PID} AS pid, relation, value, row_id FROM kg_triples WHERE contains(subject, '##') AND value IS NOT NULL)"
+
+
+@query(f"WITH {_SRC} SELECT pid, 'hasMaterial' AS relation, value, row_id FROM t WHERE relation = 'hasMaterial' OR relation = 'hasSpecialFeature' AND pid NOT IN (SELECT pid FROM t WHERE relation = 'hasMaterial')")
+def fallback_relation(spark, d):
+    """hasSpecialFeature stands in for hasMaterial where a product has none."""
+    plan = _plan(hasMaterial={}, hasSpecialFeature={"fallback_for": "hasMaterial"})
+    return between_relations(_triples(spark, d, "hasMaterial", "hasSpecialFeature"), plan)
+
+
+@query(f"WITH {_SRC} SELECT pid, relation, value, row_id FROM t a WHERE relation IN ('hasColor', 'hasMaterial', 'hasCategory') AND NOT (relation = 'hasColor' AND EXISTS (SELECT 1 FROM t b WHERE b.pid = a.pid AND b.relation IN ('hasMaterial', 'hasCategory') AND {K('b.value')} = {K('a.value')}))")
+def subsumed_relation(spark, d):
+    """A colour that is the product's material or category too goes."""
+    plan = _plan(hasColor={"subsumed_by": ["hasMaterial", "hasCategory"]}, hasMaterial={}, hasCategory={})
+    return between_relations(_triples(spark, d, "hasColor", "hasMaterial", "hasCategory"), plan)
+
+
+@query(f"WITH {_SRC} SELECT pid, count(*) AS n FROM t GROUP BY pid HAVING count(*) >= 5")
+def min_relations(spark, d):
+    t = table(spark, d, "kg_triples").filter("value IS NOT NULL").select(subject_id("subject").alias("pid")).filter("pid IS NOT NULL")
+    return t.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
+
+
+@query(f"WITH x AS (SELECT row_id AS pid, {C('text')} AS t FROM kg_text WHERE text IS NOT NULL) SELECT pid, CASE WHEN length(t) > 60 THEN regexp_replace(left(t, 60), '\\s\\S*$', '') ELSE t END AS text FROM x WHERE length(t) >= 3")
+def text_modality(spark, d):
+    """Texts cleaned and cut to 60 characters at a word."""
+    rows = table(spark, d, "kg_text").filter("text IS NOT NULL").select(F.col("row_id").alias("pid"), F.create_map(F.lit("text"), F.array("text")).alias("fields"))
+    return texts(rows, {"fields": ["text"], "max_chars": 60, "min_chars": 3})
+
+
+@query(f"WITH x AS (SELECT {ID('product_id')} AS pid, coalesce(variant, 'IMG') AS variant, url, row_id FROM kg_image WHERE product_id IS NOT NULL) SELECT pid, variant, url FROM x WHERE starts_with(url, 'http') QUALIFY row_number() OVER (PARTITION BY pid ORDER BY upper(variant) <> 'MAIN', row_id) = 1")
+def image_modality(spark, d):
+    """The main picture of each product, or its first usable one."""
+    rows = table(spark, d, "kg_image").select(norm_id("product_id").alias("pid"), "row_id", "variant", "url").filter("pid IS NOT NULL")
+    entry = F.map_filter(F.create_map(F.lit("variant"), F.col("variant"), F.lit("large"), F.col("url")), lambda k, v: v.isNotNull())
+    per = rows.select("pid", "row_id", entry.alias("m")).groupBy("pid").agg(F.sort_array(F.collect_list(F.struct("row_id", F.map_entries("m").alias("e")))).alias("l"))  # the pictures of one product
+    return images(per.select("pid", F.transform("l", lambda s: F.map_from_entries(s["e"])).alias("images")), {})
+
+
+@query(
+    "WITH {}, p AS (SELECT x.category AS category_a, y.category AS category_b, count(*) AS shared FROM per x JOIN per y ON x.u = y.u AND x.category < y.category GROUP BY ALL) SELECT category_a, max(shared) FILTER (category_b = 'Books') AS \"Books\", max(shared) FILTER (category_b = 'Movies') AS \"Movies\" FROM p WHERE category_b IN ('Books', 'Movies') GROUP BY category_a"
+)
+def half_matrix(spark, d):
+    """Shared users as columns."""
+    s = interactions.shared_users(table(spark, d, "interactions")).filter("category_b IN ('Books', 'Movies')")
+    return interactions.half_matrix(s, "shared", ["Books", "Movies"])
+
+
 # profiles
 
 
@@ -568,6 +625,8 @@ def inter_density(spark, d):
     return interactions.density(interactions.last_interactions(table(spark, d, "interactions")))
 
 
+ORACLE["half_matrix"] = ORACLE["half_matrix"].format(_PER)
+
 # exports
 
 _ESC = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
