@@ -53,6 +53,7 @@ vic: victor victoria|vicky: victoria|vicki: victoria|vince: vincent|walt: walter
 }
 
 _WORDS = re.compile(r"[^\W_]+")
+_NUMBERS = re.compile(r"\D+")
 
 
 def business_words(name: str) -> list[str]:
@@ -177,39 +178,60 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, c, core_a, core_b, other_a, other_b in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
             if other_a[-2:-1] == " " == other_b[-2:-1] and other_a != other_b:
                 continue  # different middle initials
+            if _NUMBERS.sub("", core_a + other_a) != _NUMBERS.sub("", core_b + other_b):
+                continue  # numbers aren't misspelt
             if lcs_ratio(f"{core_a} {other_a}", f"{core_b} {other_b}") >= LEAST_RATIO and edits(core_a, core_b, 1) + edits(other_a, other_b, 1) <= 1:
                 rows.append((a, c))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["a", "b"])
 
 
-def similar_keys(keys: DataFrame) -> DataFrame:
+def _with_deletions(c: str):
+    """The text and all that is left of it after one deletion: texts that are one slip apart have one of these in common."""
+    return F.array_union(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c))), lambda i: F.concat(F.left(c, i - 1), F.substr(c, i + 1))))
+
+
+def _close(x: DataFrame, y: DataFrame, on) -> DataFrame:
+    """a, b, ca, cb, oa, ob of pairs of keys under a condition that differ little in one of the two fields."""
+    close = (
+        (F.col("x.other") == F.col("y.other")) & F.levenshtein("x.core", "y.core", 2).between(0, 2)
+        | (F.col("x.core") == F.col("y.core")) & (F.least(F.length("x.other"), F.length("y.other")) >= 4) & F.levenshtein("x.other", "y.other", 2).between(0, 2)
+    )
+    pairs = x.join(y, (F.col("x.relation") == F.col("y.relation")) & on & (F.col("x.key") < F.col("y.key")) & close)
+    named = (("x.key", "a"), ("y.key", "b"), ("x.core", "ca"), ("y.core", "cb"), ("x.other", "oa"), ("y.other", "ob"))
+    return pairs.select(*[F.col(c).alias(n) for c, n in named]).distinct()
+
+
+def similar_keys(keys: DataFrame, block: int = BLOCK) -> DataFrame:
     """a, b of similar keys. keys: key, relation, core, other.
 
-    The index holds every suffix of the core from LEAST_SUFFIX letters on. A suffix that more than BLOCK keys share is refined with the
-    other field; only refined blocks that are still larger are left to longer suffixes. For slips in the last letters the index
-    holds the suffixes of the core read backwards too, refined from the start.
+    The index holds every suffix of the core from LEAST_SUFFIX letters on. A suffix that more than ``block`` keys share is refined with the
+    other field; only refined blocks that are still larger are discarded. For slips in the last letters the index holds the
+    suffixes of the core read backwards too, refined from the start. Nothing is lost with what is discarded: keys of such blocks,
+    and those of short cores, are joined on what is left of a field after one deletion, where a group holds no more than a few hundred keys by its nature.
     """
     suffixes = F.transform(F.sequence(F.lit(LEAST_SUFFIX), F.length("core")), lambda n: F.substr("core", F.length("core") - n + 1))
     suffix = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(suffixes).alias("block"))
     counted = suffix.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
-    blocks = suffix.join(counted.filter("n > 1"), ["relation", "block"]).withColumn("block", F.when(F.col("n") > BLOCK, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")))
+    large = F.col("n") > block
+    blocks = suffix.join(counted.filter("n > 1"), ["relation", "block"]).select(
+        *keys.columns, F.when(large, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")).alias("block"), (large & (F.col("block") == F.col("core"))).alias("split")
+    )
     starts = F.transform(F.sequence(F.lit(LEAST_SUFFIX - 1), F.greatest(F.lit(LEAST_SUFFIX - 1), F.length("core") - 1)), lambda n: F.left("core", n))
     mirrored = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(starts).alias("start")).filter(F.length("start") >= F.when(F.col("other") == "", LEAST_SUFFIX).otherwise(LEAST_SUFFIX - 1))
-    whole = mirrored.withColumn("block", F.concat_ws("\x1e", "other", "start")).drop("start")
-    blocks = materialize(blocks.drop("n").unionByName(whole), "blocks")
-    sizes = blocks.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(2, BLOCK))
-    held = blocks.join(sizes.drop("n"), ["relation", "block"])
-    x, y = held.alias("x"), held.alias("y")
-    close = (
-        (F.col("x.other") == F.col("y.other")) & F.levenshtein("x.core", "y.core", 2).between(0, 2)
-        | (F.col("x.core") == F.col("y.core")) & (F.least(F.length("x.other"), F.length("y.other")) >= 4) & F.levenshtein("x.other", "y.other", 2).between(0, 2)
-    )
-    pairs = (
-        x.join(y, (F.col("x.relation") == F.col("y.relation")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.key") < F.col("y.key")) & close)
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.core").alias("ca"), F.col("y.core").alias("cb"), F.col("x.other").alias("oa"), F.col("y.other").alias("ob"))
-        .distinct()
-    )
-    return pairs.mapInArrow(_near, "a string, b string")
+    whole = mirrored.select(*keys.columns, F.concat_ws("\x1e", "other", "start").alias("block"), F.lit(False).alias("split"))
+    blocks = materialize(blocks.unionByName(whole), "blocks")
+    sizes = blocks.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
+    held = blocks.join(sizes.filter(F.col("n").between(2, block)).drop("n"), ["relation", "block"])
+    pairs = _close(held.alias("x"), held.alias("y"), F.col("x.block") == F.col("y.block"))
+
+    discarded = blocks.join(sizes.filter(F.col("n") > block).drop("n"), ["relation", "block"], "left_semi").unionByName(blocks.filter("split"))
+    short = keys.filter(F.length("core") <= 2 * LEAST_SUFFIX)  # a slip in the middle may leave both ends shorter than the shortest suffix
+    rest = materialize(discarded.select(*keys.columns).unionByName(short).distinct(), "rest")
+    for field, same in (("core", "other"), ("other", "core")):
+        left = rest.withColumn("v", F.explode(_with_deletions(field)))
+        on = (F.col(f"x.{same}") == F.col(f"y.{same}")) & (F.col("x.v") == F.col("y.v"))
+        pairs = pairs.unionByName(_close(left.alias("x"), left.alias("y"), on))
+    return pairs.distinct().mapInArrow(_near, "a string, b string")
 
 
 def name_groups(values: DataFrame, people: list[str]) -> DataFrame:

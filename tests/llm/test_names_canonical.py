@@ -72,6 +72,23 @@ def test_middle_initials_keep_apart_and_relations_too(spark):
     assert got == {frozenset(["Ann B. Kromidol"]), frozenset(["Ann C. Kromidol"]), frozenset(["Ann Kromidol"])}  # the first for both relations
 
 
+def test_no_pair_is_lost_with_large_blocks(spark):
+    rng = __import__("random").Random(4)
+    word = lambda n: "".join(rng.choice("abe") for _ in range(n))
+    keys = sorted({(word(rng.randint(5, 7)), rng.choice(["", "anna", "anne", "bernd", "x"])) for _ in range(220)})
+    rows = [(f"{c}/{o}", "r", c, o) for c, o in keys]
+    df = spark.createDataFrame(rows, "key string, relation string, core string, other string")
+    wanted = set()
+    for k1, _, c1, o1 in rows:
+        for k2, _, c2, o2 in rows:
+            if k1 < k2 and lcs_ratio(f"{c1} {o1}", f"{c2} {o2}") >= names.LEAST_RATIO and (c1 == c2 and min(len(o1), len(o2)) >= 4 and edits(o1, o2, 1) == 1 or o1 == o2 and edits(c1, c2, 1) == 1):
+                wanted.add((k1, k2))
+    assert len(wanted) > 50
+    for block in (2, 5):  # nearly all blocks are too large
+        got = {tuple(r) for r in names.similar_keys(df, block).collect()}
+        assert got == wanted, (got - wanted, wanted - got)
+
+
 def test_names_edge_cases(spark):
     assert groups(spark, []) == set()
     got = groups(spark, [("b", "---"), ("b", ""), ("b", None), (None, "x"), ("b", "a" * 3000), ("p", "Cher"), ("p", "Ltd"), ("b", "Ltd")])
