@@ -638,12 +638,31 @@ _ESC = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '\"', '\\\"'
     f"UNION ALL SELECT DISTINCT '<https://kg.example/entity/' || url_encode(relation) || '/' || url_encode(value) || '> <http://www.w3.org/2000/01/rdf-schema#label> \"' || {_ESC.format('value')} || '\" .' FROM k"
 )
 def ntriples_export(spark, d):
-    """Edges and entity labels of the whole graph as N-Triples."""
+    """Edges and entity labels as N-Triples; ntriples_graph has the products, texts, pictures and taxonomy too."""
     kg = table(spark, d, "kg_triples").select(subject_id("subject").alias("product_id"), "relation", "value").filter("product_id IS NOT NULL")
     nothing = table(spark, d, "kg_link").limit(0)
     return ntriples(kg, nothing, nothing.withColumn("text", F.lit("")), nothing.withColumn("url", F.lit("")), "https://kg.example/")
 
 
+_BASE = "https://kg.example/"
+
+
+@query(
+    ORACLE["ntriples_export"]
+    + f" UNION ALL SELECT '<{_BASE}product/' || url_encode(p) || '> ' || unnest(['<http://www.w3.org/1999/02/22-rdf-syntax-ns#type> <http://schema.org/Product> .', '<http://www.w3.org/2000/01/rdf-schema#label> \"' || {_ESC.format("coalesce(product_name, '')")} || '\" .']) FROM (SELECT {ID('product_id')} AS p, product_name FROM kg_link WHERE product_id IS NOT NULL)"
+    f" UNION ALL SELECT '<{_BASE}product/' || url_encode({ID('product_id')}) || '> <http://schema.org/description> \"' || {_ESC.format('text')} || '\" .' FROM kg_text WHERE product_id IS NOT NULL AND text IS NOT NULL"
+    f" UNION ALL SELECT '<{_BASE}product/' || url_encode({ID('product_id')}) || '> <http://schema.org/image> <' || url || '> .' FROM kg_image WHERE product_id IS NOT NULL AND url IS NOT NULL"
+    f" UNION ALL SELECT '<{_BASE}type/' || url_encode(subject) || '> <{_BASE}relation/' || url_encode(relation) || '> <{_BASE}type/' || url_encode(value) || '> .' FROM kg_triples WHERE relation = 'hasSubtype' AND NOT contains(subject, '##') AND value IS NOT NULL"
+)
+def ntriples_graph(spark, d):
+    """The whole graph as N-Triples: products, descriptions, pictures, edges, entity labels and the taxonomy."""
+    triples = table(spark, d, "kg_triples")
+    kg = triples.select(subject_id("subject").alias("product_id"), "relation", "value").filter("product_id IS NOT NULL")
+    link, text, image = (table(spark, d, name).withColumn("product_id", norm_id("product_id")) for name in ("kg_link", "kg_text", "kg_image"))
+    taxonomy = triples.filter("relation = 'hasSubtype' AND NOT contains(subject, '##') AND value IS NOT NULL").select(F.col("subject").alias("parent"), "relation", F.col("value").alias("child"))
+    return ntriples(kg, link, text, image, _BASE, taxonomy)
+
+
 # the whole build
 
 DEMO = """
