@@ -502,11 +502,22 @@ def image_modality(spark, d):
     "WITH {}, p AS (SELECT x.category AS category_a, y.category AS category_b, count(*) AS shared FROM per x JOIN per y ON x.u = y.u AND x.category < y.category GROUP BY ALL) SELECT category_a, max(shared) FILTER (category_b = 'Books') AS \"Books\", max(shared) FILTER (category_b = 'Movies') AS \"Movies\" FROM p WHERE category_b IN ('Books', 'Movies') GROUP BY category_a"
 )
 def half_matrix(spark, d):
-    """Shared users as columns."""
+    """Shared users as columns, two categories only; half_matrix_all has them all."""
     s = interactions.shared_users(table(spark, d, "interactions")).filter("category_b IN ('Books', 'Movies')")
     return interactions.half_matrix(s, "shared", ["Books", "Movies"])
 
 
+@query(
+    "WITH {}, p AS (SELECT x.category AS category_a, y.category AS category_b, count(*) AS shared FROM per x JOIN per y ON x.u = y.u AND x.category < y.category GROUP BY ALL), "
+    "m AS (SELECT p.category_a, sz.category AS category_b, p.shared FROM sz LEFT JOIN p ON p.category_b = sz.category) SELECT * FROM (PIVOT m ON category_b USING max(shared) GROUP BY category_a) WHERE category_a IS NOT NULL"
+)
+def half_matrix_all(spark, d):
+    """Shared users as columns, a column for every category."""
+    rows = table(spark, d, "interactions")
+    categories = sorted(r.category for r in rows.filter("category IS NOT NULL AND user IS NOT NULL").select("category").distinct().collect())  # few
+    return interactions.half_matrix(interactions.shared_users(rows), "shared", categories)
+
+
 # profiles
 
 
@@ -626,6 +637,7 @@ def inter_density(spark, d):
 
 
 ORACLE["half_matrix"] = ORACLE["half_matrix"].format(_PER)
+ORACLE["half_matrix_all"] = ORACLE["half_matrix_all"].format(_PER)
 
 # exports
 

@@ -28,3 +28,11 @@ def test_ntriples_graph_has_all_blocks(spark, sf):
     n = lambda t, where: spark.read.parquet(f"{sf}/{t}.parquet").filter(where).count()
     whole = sum(by_sql("ntriples_graph", sf)[1].values()) - sum(by_sql("ntriples_export", sf)[1].values())
     assert whole == 2 * n("kg_link", "product_id IS NOT NULL") + n("kg_text", "product_id IS NOT NULL AND text IS NOT NULL") + n("kg_image", "product_id IS NOT NULL AND url IS NOT NULL") + n("kg_triples", "relation = 'hasSubtype'")
+
+
+def test_half_matrix_all_has_every_category(spark, sf):
+    rows = both(spark, "half_matrix_all", sf)
+    categories = {r.category for r in spark.read.parquet(f"{sf}/interactions.parquet").filter("category IS NOT NULL").select("category").distinct().collect()}
+    assert set(by_sql("half_matrix_all", sf)[0]) == {"category_a"} | categories
+    pairs = sum(by_sql("shared_users", sf)[1].values())
+    assert sum(v is not None for r in rows for v in r[1:]) == pairs > sum(v is not None for r in by_sql("half_matrix", sf)[1] for v in r[1:])
