@@ -46,6 +46,14 @@ def test_missing_token_joins_only_one_item(spark):
     assert pairs(spark, rows) == {("A", "B")}
 
 
+def test_score_brings_listings_that_lack_different_tokens_together(spark):
+    rows = [("A", "Brimo Works Tarn Wall Frame 30 x 20 cm", ""), ("B", "Brimo Works Tarn Wall Frame Black", "")]
+    rows += [("C", "Grelo Works Tarn Wall Frame 30 x 20 cm", ""), ("D", "Grelo Works Tarn Wall Frame Black", ""), ("E", "Grelo Works Tarn Wall Frame Navy", "")]
+    often = [(f"F{i}", "Vulpa Works Tarn Wall Frame Black", "") for i in range(8)] + [("G", "Vulpa Works Tarn Wall Frame 30 x 20 cm", "")]
+    # eight listings outweigh the shorter combination they share with one more
+    assert pairs(spark, rows + often) == {("A", "B"), *itertools.combinations([f"F{i}" for i in range(8)], 2)}
+
+
 def test_edge_cases(spark):
     assert pairs(spark, []) == set()
     rows = [("A", "Brimo Works Tarn Wall Frame Black", "x " * 50_000), ("A", "Brimo Works Tarn Wall Frame Black", ""), ("B", "wall frame", ""), ("C", "", "")]
