@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.common import norm_id, table
@@ -57,13 +57,18 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return _residue(spark, d).groupBy("source_table", "row_id").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), F.first("clean").alias("text"))  # at most four kinds
 
 
+def description(c: str) -> Column:
+    """What follows the title: everything after the first `` . ``, or the whole text without one."""
+    return F.element_at(F.split(c, r" \. ", 2), -1)
+
+
 def _items(spark: SparkSession, d: str) -> DataFrame:
     link = table(spark, d, "kg_link").select(norm_id("product_id").alias("product_id"), "product_name", "loaded_at").filter("product_id IS NOT NULL")
     text = table(spark, d, "kg_text").select(norm_id("product_id").alias("product_id"), "text", "loaded_at").filter("product_id IS NOT NULL AND text IS NOT NULL")
     latest = lambda c: F.max_by(c, F.struct(F.col(c).isNotNull(), F.col("loaded_at"), F.xxhash64(c)))
     products = link.groupBy("product_id").agg(latest("product_name").alias("title"))
     texts = text.groupBy("product_id").agg(latest("text").alias("text"))
-    listed = products.join(texts, "product_id", "full").select("product_id", F.coalesce("title", F.substring_index("text", " . ", 1)).alias("title"), F.substring_index("text", " . ", -1).alias("text"))
+    listed = products.join(texts, "product_id", "full").select("product_id", F.coalesce("title", F.substring_index("text", " . ", 1)).alias("title"), description("text").alias("text"))
     taxonomy = table(spark, d, "kg_triples").filter("relation = 'hasSubtype'").select(F.col("value").alias("kind"))
     return listings.item_groups(listed, taxonomy, table(spark, d, "canon_values"), table(spark, d, "rule_terms"))
 

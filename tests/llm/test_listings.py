@@ -58,3 +58,12 @@ def test_edge_cases(spark):
     assert pairs(spark, []) == set()
     rows = [("A", "Brimo Works Tarn Wall Frame Black", "x " * 50_000), ("A", "Brimo Works Tarn Wall Frame Black", ""), ("B", "wall frame", ""), ("C", "", "")]
     assert pairs(spark, rows) == set()
+
+
+def test_description_is_all_after_the_title(spark):
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.queries import description
+
+    df = spark.createDataFrame([("Mug . Color: black . You get 1 L.",), ("Mug . one",), ("only text",), (None,)], "text string")
+    assert [r.d for r in df.select("text", description(F.col("text")).alias("d")).collect()] == ["Color: black . You get 1 L.", "one", "only text", None]
