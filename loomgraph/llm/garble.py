@@ -285,7 +285,7 @@ class Restorer:
                     out = r.restore(out)
             if out == before:
                 break
-        return out, out != text or _LOST in text
+        return out, out != text or _LOST in text or _CONTROL.search(out) is not None
 
 
 #: Control characters that only readers of ISO 8859 leave.

@@ -76,6 +76,12 @@ def test_other_readings():
     assert garble.Restorer(["utf-8>cp1252", "utf-8>latin-1", "cp1251>cp1252", "utf-8>mac_roman"]).restore(plain) == (plain, False)
 
 
+def test_control_characters_that_stay_are_garbled():
+    for text in ("a\x93b\x94 c", "\x82", "caf\x8e"):
+        assert garble.Restorer([]).restore(text) == (text, True)
+    assert garble.Restorer([]).restore("line\x85end été") == ("line\x85end été", False)
+
+
 def test_learns_from_twins(spark):
     lines = ["Die günstige Leine kam nach {} Tagen an", "für größere Küchen gut", "schöne Tasche über Nacht", "Spülgänge und Öffnung", "El botón hace pequeño ruido número {}"]
     rows = [(i, lines[i % 5].format(i), "en") for i in range(60)]
