@@ -25,11 +25,11 @@ ELEMENTS = frozenset(
 #: Rows without any of these signs can't hold a cue; the test runs in the JVM before Python sees a row.
 GATE = (
     r"<[/!a-zA-Z]|&#?\w+;|\*\S|~~\S|`|(?<!\w)_\S|\]\s?\(|\[\[|\{\{|\{\||''|\\[a-zA-Z\[(]|\$[^$]*[\\^_{]|"
-    r"(?:^|\n)(?:#{1,6} |> |\||={2,}|-{3,}\s*(?:\n|$))"
+    r"(?:^|\n)(?:#{1,6} |> |\|| ?:?-{3,}:? ?\||={2,}|-{3,}\s*(?:\n|$))"
 )
 
 #: (kind, cue, weight, pattern). The weight is the log-odds that a match is markup; a weak or negative one needs neighbours
-#: that are. A match is one node of the graph.
+#: that are. A match is one node of the graph. A span ends at a blank line or at its own signs, however long it is.
 _CUES = [
     ("html", "comment", 4.0, r"<!--.*?-->"),
     ("html", "tag", 4.0, r"</?(?P<tag>[a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?/?>"),
@@ -42,31 +42,31 @@ _CUES = [
     ("markdown", "underline", 3.0, r"(?<=\S)\n(?:={3,}|-{3,})[ \t]*$"),
     ("markdown", "image", 4.0, r"!\[[^\]\[]*\]\s?\(\s*[^()\s]+\s*\)"),
     ("markdown", "link", 4.0, r"(?<!!)\[[^\]\[]+\]\(\s*[^()\s]+\s*\)|(?<!!)\[[^\]\[]+\]\s\(\s*https?://[^()\s]+\s*\)"),
-    ("markdown", "bold", 3.0, r"(?<!\*)\*\*(?=[^\s*])[^*]{1,300}?(?<=[^\s*])\*\*(?!\*)"),
-    ("markdown", "italic", 1.5, r"(?<![\w*])\*(?=[^\s*])[^*]{1,400}?(?<=[^\s*])\*(?![\w*])"),
-    ("markdown", "underlined", 2.5, r"(?<![\w_])__(?=[^\s_])[^_]{1,300}?(?<=[^\s_])__(?![\w_])"),
-    ("markdown", "emphasis", 1.0, r"(?<![\w_])_(?=[^\s_])[^_\n]{1,200}?(?<=[^\s_])_(?![\w_])"),
-    ("markdown", "struck", 3.0, r"(?<!~)~~(?=[^\s~])[^~]{1,300}?(?<=[^\s~])~~(?!~)"),
-    ("markdown", "code", 2.5, r"(?<!`)`(?=[^\s`])[^`]{1,200}?(?<=[^\s`])`(?!`)"),
+    ("markdown", "bold", 3.0, r"(?<!\*)\*\*(?=[^\s*])(?:[^*\n]|\n(?![^\S\n]*\n))+?(?<=[^\s*])\*\*(?!\*)"),
+    ("markdown", "italic", 1.5, r"(?<![\w*])\*(?=[^\s*])(?:[^*\n]|\n(?![^\S\n]*\n))+?(?<=[^\s*])\*(?![\w*])"),
+    ("markdown", "underlined", 2.5, r"(?<![\w_])__(?=[^\s_])(?:[^_\n]|\n(?![^\S\n]*\n))+?(?<=[^\s_])__(?![\w_])"),
+    ("markdown", "emphasis", 1.0, r"(?<![\w_])_(?=[^\s_])[^_\n]+?(?<=[^\s_])_(?![\w_])"),
+    ("markdown", "struck", 3.0, r"(?<!~)~~(?=[^\s~])(?:[^~\n]|\n(?![^\S\n]*\n))+?(?<=[^\s~])~~(?!~)"),
+    ("markdown", "code", 2.5, r"(?<!`)`(?=[^\s`])(?:[^`\n]|\n(?![^\S\n]*\n))+?(?<=[^\s`])`(?!`)"),
     ("markdown", "table rule", 4.0, r"^\|? ?:?-{3,}:? ?(?:\| ?:?-{2,}:? ?)+\|?[ \t]*$"),
     ("markdown", "table row", -0.3, r"^\|(?![|}\-+])[^\n|=]*\|(?!\|)[^\n|]*\|[ \t]*$"),
     ("markdown", "quote", 1.2, r"^> +(?=[^\d\s])[^\n]*$"),
     ("markdown", "quote line", -0.4, r"^>[ \t]*(?:\d[^\n]*)?$"),
     ("markdown", "item", -0.8, r"^[ \t]*(?:[-+]|\d{1,3}\.) +\S"),
-    ("wiki", "link", 4.0, r"\[\[[^\[\]]{1,300}\]\]"),
-    ("wiki", "template", 4.0, r"\{\{[^{}]{1,2000}\}\}|\{\{(?=[A-Z][a-z])|^\}\}"),
+    ("wiki", "link", 4.0, r"\[\[[^\[\]]+\]\]"),
+    ("wiki", "template", 4.0, r"\{\{[^{}]+\}\}|\{\{(?=[A-Z][a-z])|^\}\}"),
     ("wiki", "table", 3.5, r"^\{\|[^\n]*$|^\|\}[ \t]*$"),
     ("wiki", "table line", 1.0, r"^\|-[ \t]*$|^\|[^\n|]*\|\|[^\n]*$|^\|\+[^\n]*$|^![^\n!]*!![^\n]*$"),
-    ("wiki", "bold", 3.0, r"(?<![\w'])'''(?=[^\s'])[^']{1,300}?(?<=[^\s'])'''(?![\w'])"),
-    ("wiki", "italic", 2.5, r"(?<![\w'])''(?=[^\s'])[^']{1,300}?(?<=[^\s'])''(?![\w'])"),
-    ("wiki", "heading", 3.0, r"^(?P<eq>={2,6}) *(?=[^\s=])[^=]{1,200}?(?<=[^\s=]) *(?P=eq)[ \t]*$"),
+    ("wiki", "bold", 3.0, r"(?<![\w'])'''(?=[^\s'])(?:[^'\n]|\n(?![^\S\n]*\n))+?(?<=[^\s'])'''(?![\w'])"),
+    ("wiki", "italic", 2.5, r"(?<![\w'])''(?=[^\s'])(?:[^'\n]|\n(?![^\S\n]*\n))+?(?<=[^\s'])''(?![\w'])"),
+    ("wiki", "heading", 3.0, r"^(?P<eq>={2,6}) *(?=[^\s=])(?:[^=\n]|\n(?![^\S\n]*\n))+?(?<=[^\s=]) *(?P=eq)[ \t]*$"),
     ("wiki", "item", -0.6, r"^(?:[*#]+|[:;]+) +\S"),
     ("latex", "environment", 4.0, r"\\(?:begin|end)\{[a-zA-Z]+\*?\}"),
     ("latex", "command", 3.5, r"(?<![:\w\\])\\(?:sub)*(?!begin|end)[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{"),
     ("latex", "command after text", 3.0, r"(?<=[\w.~,;)])~?\\(?:cite|ref|footnote|label|url|href|eqref)\{"),
     ("latex", "item", 3.0, r"^[ \t]*\\item\b(?!\\)"),
-    ("latex", "display", 3.0, r"(?<!\\)\\\[(?=.{1,400}?\\\])|\\\]"),
-    ("latex", "inline", 3.0, r"\\\((?=.{1,400}?\\\))"),
+    ("latex", "display", 3.0, r"(?<!\\)\\\[(?=(?:(?!\\\[)[^\n]|\n(?![^\S\n]*\n))+?\\\])|\\\]"),
+    ("latex", "inline", 3.0, r"\\\((?=(?:(?!\\\()[^\n]|\n(?![^\S\n]*\n))+?\\\))"),
     ("latex", "formula", 3.0, r"(?<![\\$\w])\$\$?(?=[^\s$])[^$\n]*(?:\\[a-zA-Z,]+|[\^_]\{)[^$\n]*\$\$?(?!\w)"),
     ("latex", "short formula", 2.0, r"(?<![\\$\w])\$(?=[A-Za-z\\(])[^$\n ]{0,40}[\^_=][^$\n]{0,40}\$(?!\w)"),
     ("latex", "symbol", 1.0, r"(?<![:\w\\])\\(?:frac|sqrt|cdot|times|approx|alpha|beta|gamma|pi|rho|sum|int|leq|geq|ldots|mathrm|textit)\b"),

@@ -55,6 +55,16 @@ def test_residue(spark):
     assert markup.residue(df.limit(0), ["row_id"]).count() == 0
 
 
+def test_long_spans_and_tables_without_outer_pipes(spark):
+    long = "word " * 600 + "end"
+    for kind, spans in {"markdown": ("**{}**", "*{}*", "__{}__", "~~{}~~", "`{}`", "_{}_"), "wiki": ("[[{}]]", "'''{}'''", "''{}''"), "latex": (r"\({}\)", r"\[{}\]")}.items():
+        for s in spans:
+            assert kind in L.label("a " + s.format(long) + " b"), s
+    assert L.label("a **b\n\nc** d") == {}
+    df = spark.createDataFrame([(1, "a | b\n--- | ---\nc | d"), (2, "a | b")], "row_id bigint, text string")
+    assert [(r.row_id, r.kind) for r in markup.residue(df, ["row_id"]).collect()] == [(1, "markdown")]
+
+
 def misread(s, codec, times=1):
     for _ in range(times):
         s = "".join(garble.alphabet(codec)[b] for b in s.encode("utf-8"))
