@@ -33,9 +33,12 @@ def subject_id(c: Column | str) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Unset, it is a folder of this machine for a local session (tests), whose
+    executors all run here; a cluster must name one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         base = "file://" + os.path.join(tempfile.gettempdir(), "loomgraph-shared")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -61,8 +64,27 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     path = new_path(spark, label)
     w = df.write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    return out.select(*df.columns)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out.written_at = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Remove the files of a table from ``materialize`` that nothing reads any more; loops call it for the rounds they have passed."""
+    if df is not None and (path := getattr(df, "written_at", None)):
+        _remove(df.sparkSession, path)
+
+
+def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Inner join of ``left`` with one row per key; column n of that row says how many rows of left have the key.
+
+    Keys of more than 1/HOT_SHARE of all rows, at most HOT_SHARE by the pigeonhole principle, are broadcast, so their rows stay where they
+    are; only the others are shuffled. counted should be written, as it is read three times.
+    """
+    total = counted.agg(F.sum(n)).first()[0] or 0
+    hot = counted.filter(F.col(n) * HOT_SHARE > total)
+    cool = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.filter(F.col(n) * HOT_SHARE <= total), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(cool)
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
@@ -85,6 +107,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     both = materialize(edges.select("a", "b").filter("a <> b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b")).distinct(), label)
     labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("component")).withColumnRenamed("a", "node"), label)
+    passed = labels
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("least")).withColumnRenamed("a", "node")
         hooked = labels.join(near, "node").select("node", "component", F.least("component", "least").alias("to"))
@@ -94,5 +117,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         )
         done = materialize(jumped, label)
         labels = done.select("node", "component")
+        discard(passed)
         if done.filter("component <> before").isEmpty():
+            discard(both)
             return labels
+        passed = done

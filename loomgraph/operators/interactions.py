@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.common import materialize
+from loomgraph.common import discard, materialize
 
 #: Times above this are in milliseconds.
 MILLISECONDS = 10**11
@@ -25,23 +25,23 @@ def last_interactions(inter: DataFrame, released: DataFrame | None = None) -> Da
     return rows.groupBy("user", "item").agg(F.max(F.struct("ts", "rating")).alias("m")).select("user", "item", "m.rating", "m.ts")
 
 
-def k_core(pairs: DataFrame, k: int, max_rounds: int = 1000) -> DataFrame:
+def k_core(pairs: DataFrame, k: int) -> DataFrame:
     """Rows whose user and item both have k rows or more among the rows that remain; both are counted on the same set in each round.
 
-    pairs: user, item and other columns, one row per pair. Each round is written to the shared folder. Empty when nothing is left.
+    pairs: user, item and other columns, one row per pair. Rounds go on until nothing changes; each is written to the shared folder and
+    the one before it removed. Empty when nothing is left.
     """
     now = materialize(pairs, "core")
-    n = now.count()
-    for _ in range(max_rounds):
-        users = now.groupBy("user").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= k).select("user")
-        items = now.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= k).select("item")
-        kept = materialize(now.join(users, "user", "left_semi").join(items, "item", "left_semi").select(*pairs.columns), "core")
-        m = kept.count()
+    while True:
+        users = now.groupBy("user").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") < k).select("user")
+        items = now.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") < k).select("item")
+        few_users, few_items = materialize(users, "few"), materialize(items, "few")
+        if few_users.isEmpty() and few_items.isEmpty():
+            return now
+        kept = materialize(now.join(few_users, "user", "left_anti").join(few_items, "item", "left_anti").select(*pairs.columns), "core")
+        for passed in (now, few_users, few_items):
+            discard(passed)
         now = kept
-        if m == n or m == 0:
-            break
-        n = m
-    return now
 
 
 def chronological_split(inter: DataFrame, test: float = 0.1, valid: float = 0.1) -> DataFrame:

@@ -113,17 +113,22 @@ def plural_map(c: DataFrame, keys: list[str], min_count: int = 1, keep_distinct:
     return closed(edges.groupBy(*keys, "value").agg(F.max_by("target", "plural").alias("target")), keys)
 
 
-def closed(mapping: DataFrame, keys: list[str], rounds: int = 32) -> DataFrame:
-    """A mapping with its chains followed to the end, by doubling: a chain of 2**n steps takes n rounds; cycles end at rounds."""
+def closed(mapping: DataFrame, keys: list[str]) -> DataFrame:
+    """A mapping with its chains followed to the end, by doubling: a chain of 2**n steps takes n rounds. A cycle, which the mappings of
+    this module can't hold, has no end and raises ValueError."""
     now = materialize(mapping, "closure")
-    for _ in range(rounds):
+    longest, rounds = None, 0
+    while True:
         ahead = now.select(*keys, F.col("value").alias("target"), F.col("target").alias("further"))
         step = now.join(ahead, [*keys, "target"], "left").select(*keys, "value", F.coalesce(F.when(F.col("further") != F.col("value"), F.col("further")), F.col("target")).alias("next"), "target")
         step = materialize(step, "closure")
         if step.filter("next <> target").isEmpty():
-            break
+            return now
+        rounds += 1
+        longest = longest or step.count()  # no chain has more steps than the mapping has rows
+        if 2**rounds > 2 * longest:
+            raise ValueError("the mapping holds a cycle")
         now = step.select(*keys, "value", F.col("next").alias("target"))
-    return now
 
 
 def vocabulary(c: DataFrame, keys: list[str], min_count: int = 3, max_len: int = 40, min_words: int = 2) -> DataFrame:
@@ -133,13 +138,15 @@ def vocabulary(c: DataFrame, keys: list[str], min_count: int = 3, max_len: int =
     return fit.groupBy(*keys, F.array_join("w", " ").alias("term")).agg(F.min_by("value", F.struct("first", "value")).alias("value"))
 
 
-def find_vocabulary(texts: DataFrame, keys: list[str], terms: DataFrame, id_cols: list[str], text: str = "text", max_terms: int = 2, max_words: int = 12) -> DataFrame:
+def find_vocabulary(texts: DataFrame, keys: list[str], terms: DataFrame, id_cols: list[str], text: str = "text", max_terms: int = 2, max_words: int | None = None) -> DataFrame:
     """id_cols, pos, value: terms of a learned vocabulary in free text, from left to right, the longest first, each word used once.
 
-    The vocabulary may be of any size: all runs of up to max_words words of a text are joined with it; the choice among
-    the hits of one text happens in an ordered fold over that text's own hits.
+    The vocabulary may be of any size: all runs of a text of up to max_words words, by default as
+    many as the longest term has, are joined with it; the choice among the hits of one text happens in an ordered fold over that text's own hits.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    if max_words is None:
+        max_words = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     runs = (
         texts.select(*id_cols, *[k for k in keys if k not in id_cols], words.alias("w")).filter(F.size("w") > 0)
         .select("*", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"))
