@@ -9,18 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.common import components, materialize
-from loomgraph.llm.strings import edits, fold, lcs_ratio, subsequence
+from loomgraph.common import components, discard, join_counted, materialize
+from loomgraph.llm.strings import fold, lcs_ratio, subsequence
 
 #: Suffixes shorter than this are not indexed.
 LEAST_SUFFIX = 4
 #: Names of a block that are compared with each other; a larger block is refined with another field, and what is still larger
 #: falls to longer suffixes of the same names, which are all indexed.
 BLOCK = 50
-#: Two names are variants from this longest-common-subsequence ratio on.
-LEAST_RATIO = 0.85
-
-#: Words for the form and the trade of a business (fixed values).
+#: Two names are variants from this longest-common-subsequence ratio of the whole names on, and this one of the field that differs.
+LEAST_RATIO, LEAST_FIELD = 0.885, 0.8
+#: Given names or trades of this many names are words of their own: they are slips of each other only if one is LOPSIDED times as frequent.
+OF_ITS_OWN, LOPSIDED = 5, 4
+#: A word of this many business names, and of one in COMMON_SHARE of them, says the form or trade of a business: the form if it mostly stands last.
+LEAST_COMMON, COMMON_SHARE = 20, 500
+
+#: Words for the form and the trade of a business, for tables too small to learn them from (fixed values).
 FORMS = "works international laboratories industries company goods products brothers group associates trading supply manufacturing partners services solutions holdings enterprises studio studios ventures".split()
 TRADES = "audio ceramics cycling garden home kitchen lighting nursery office outdoor paper pet sports textile tool travel toys books music food fashion beauty health baby auto jewelry electronics hardware furniture leather glass steel wood".split()
 #: Their short forms that aren't the beginning of the word (fixed values).
@@ -56,44 +60,55 @@ _WORDS = re.compile(r"[^\W_]+")
 _NUMBERS = re.compile(r"\D+")
 
 
+class Words:
+    """The words for forms and trades of businesses: the fixed ones and those learned from a corpus."""
+
+    def __init__(self, forms: tuple[str, ...] = (), trades: tuple[str, ...] = ()):
+        self.forms = frozenset(FORMS) | frozenset(forms) - frozenset(TRADES)
+        self.trades = frozenset(TRADES) | frozenset(trades) - self.forms
+        self.sorted = [sorted(self.trades), sorted(self.forms)]
+
+    def written_out(self, word: str) -> str:
+        """The word that a short form stands for, or the word itself."""
+        if word in SHORT:
+            return SHORT[word]
+        if word in self.forms or word in self.trades or len(word) > 6 or len(word) < 3:
+            return word
+        for vocabulary in self.sorted:
+            hits = [x for x in vocabulary if x.startswith(word)]
+            if len(hits) == 1:
+                return hits[0]
+        hits = [x for x in self.sorted[1] if x[0] == word[0] and x[-1] == word[-1] and 2 * len(word) > len(x) and subsequence(word, x)]
+        return hits[0] if len(hits) == 1 else word
+
+    def apart(self, words: list[str]) -> list[str]:
+        """Words with a trade that was written onto the word before it set apart."""
+        out: list[str] = []
+        for w in words:
+            cut = next((i for i in range(4, len(w) - 2) if w[i:] in self.trades), 0) if w not in self.forms else 0
+            out += [w[:cut], w[cut:]] if cut else [w]
+        return out
+
+    def parse(self, words: list[str], df: dict[str, int]) -> tuple[str, str, str, bool]:
+        """(core, trade, "", whether only the core is given). The core is the rarest word that is no business word."""
+        words = self.apart(words)
+        known = [self.written_out(w) for w in words]
+        free = [i for i, w in enumerate(known) if w not in self.forms and w not in self.trades]
+        if not free:
+            return " ".join(known), "", "", False
+        at = min(free, key=lambda i: (df.get(words[i], 1), -len(words[i]), i))
+        other = sorted(w for i, w in enumerate(known) if i != at and w not in self.forms)
+        return words[at], " ".join(other), "", len(words) == 1
+
+
 def business_words(name: str) -> list[str]:
-    """Folded words without legal form, article and joined-up writing: the trade stands apart, short forms are written out."""
+    """Folded words without legal form and article; words joined with a capital letter stand apart."""
     name = re.sub(r"[®™©]", " ", name)
     legal = LEGAL.search(low := fold(name))
     name = name[: len(name) - (len(low) - legal.start())] if legal and len(low) == len(name) else low[: legal.start()] if legal else name
     name = re.sub(r"(?<=[^\W\d_A-Z])(?=[A-Z])", " ", name.replace("'", "").replace("’", ""))
-    out: list[str] = []
-    for w in _WORDS.findall(fold(name)):
-        tail = next((t for t in TRADES if w.endswith(t) and len(w) - len(t) >= 4), "")
-        out += [w[: len(w) - len(tail)], tail] if tail and w not in FORMS else [w]
-    if len(out) > 1 and out[0] == "the":
-        out = out[1:]
-    return out
-
-
-def written_out(word: str) -> str:
-    """The word of a business that a short form stands for, or the word itself."""
-    if word in SHORT:
-        return SHORT[word]
-    if word in FORMS or word in TRADES or len(word) > 6 or len(word) < 3:
-        return word
-    for vocabulary in (TRADES, FORMS):
-        hits = [x for x in vocabulary if x.startswith(word)]
-        if len(hits) == 1:
-            return hits[0]
-    hits = [x for x in FORMS if x[0] == word[0] and x[-1] == word[-1] and 2 * len(word) > len(x) and subsequence(word, x)]
-    return hits[0] if len(hits) == 1 else word
-
-
-def parse_business(words: list[str], df: dict[str, int]) -> tuple[str, str, str, bool]:
-    """(core, trade, "", whether only the core is given). The core is the rarest word that is no business word."""
-    known = {i: written_out(w) for i, w in enumerate(words)}
-    free = [i for i, w in known.items() if w not in FORMS and w not in TRADES]
-    if not free:
-        return " ".join(known.values()), "", "", False
-    at = min(free, key=lambda i: (df.get(words[i], 1), -len(words[i]), i))
-    other = [known[i] for i in sorted(known) if i != at and known[i] not in FORMS]
-    return words[at], " ".join(sorted(other)), "", len(words) == 1
+    out = _WORDS.findall(fold(name))
+    return out[1:] if len(out) > 1 and out[0] == "the" else out
 
 
 def person_words(name: str) -> tuple[list[str], int]:
@@ -133,7 +148,7 @@ def _split(batches: Iterator[pa.RecordBatch], people: list[str]) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.list_(pa.string())), pa.array(before, pa.int32())], names=["relation", "value", "words", "before"])
 
 
-def _parse(batches: Iterator[pa.RecordBatch], people: list[str]) -> Iterator[pa.RecordBatch]:
+def _parse(batches: Iterator[pa.RecordBatch], people: list[str], vocabulary: Words) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: tuple[list, ...] = ([], [], [], [])
         relations = b.column(0).to_pylist()
@@ -143,13 +158,27 @@ def _parse(batches: Iterator[pa.RecordBatch], people: list[str]) -> Iterator[pa.
             if relation in people:
                 got = parse_person(words, before, {s["word"]: s["firsts"] for s in stats})
             else:
-                got = parse_business(words, {s["word"]: s["df"] for s in stats})
+                got = vocabulary.parse(words, {s["word"]: s["df"] for s in stats})
             for column, x in zip(out, got, strict=True):
                 column.append(x)
         kinds = (pa.string(), pa.string(), pa.string(), pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x, k) for x, k in zip(out, kinds, strict=True)]], names=["relation", "value", "core", "other", "middle", "partial"])
 
 
+def business_vocabulary(stats: DataFrame) -> Words:
+    """Forms and trades learned from (person, word, df, lasts). A word needs a share of all words, so they are few whatever the corpus."""
+    business = stats.filter("NOT person")
+    total = business.agg(F.sum("df")).first()[0] or 0
+    common = business.filter((F.col("df") >= LEAST_COMMON) & (F.col("df") * COMMON_SHARE >= total)).select("word", (F.col("lasts") * 2 > F.col("df")).alias("form"), "df").collect()  # at most COMMON_SHARE rows
+    forms, trades = [], []
+    known = Words()
+    for r in sorted(common, key=lambda r: (-r.df, r.word)):
+        if known.written_out(r.word) == r.word:  # a short form stands for the word it is short for
+            (forms if r.form else trades).append(r.word)
+            known = Words(tuple(forms), tuple(trades))
+    return known
+
+
 def parsed(values: DataFrame, people: list[str]) -> DataFrame:
     """relation, value, core, other, middle, partial of each distinct name."""
     names = materialize(
@@ -158,80 +187,98 @@ def parsed(values: DataFrame, people: list[str]) -> DataFrame:
         ),
         "names",
     )
-    words = names.select("relation", "value", "before", F.posexplode("words").alias("pos", "word"))
-    person = F.col("relation").isin(people)
-    first = (F.col("pos") == 0) & (F.col("before") == 0)
-    stats = words.groupBy(person.alias("person"), "word").agg(F.count(F.lit(1)).alias("df"), F.sum(first.cast("int")).alias("firsts"))
-    joined = words.withColumn("person", person).join(stats, ["person", "word"])
+    words = names.select("relation", "value", "before", (F.size("words") - 1).alias("end"), F.posexplode("words").alias("pos", "word"))
+    words = words.withColumn("person", F.col("relation").isin(people))
+    first, last = (F.col("pos") == 0) & (F.col("before") == 0), F.col("pos") == F.col("end")
+    stats = words.groupBy("person", "word").agg(F.count(F.lit(1)).alias("df"), F.sum(first.cast("int")).alias("firsts"), F.sum(last.cast("int")).alias("lasts"))
+    stats = materialize(stats, "words")
+    vocabulary = business_vocabulary(stats)
+    joined = join_counted(words, stats, ["person", "word"], "df")
     gathered = joined.groupBy("relation", "value", "before").agg(F.collect_list(F.struct("pos", "word", "df", "firsts")).alias("stats"))  # the words of one name
     schema = "relation string, value string, core string, other string, middle string, partial boolean"
-    named = gathered.select("relation", "value", "before", "stats").mapInArrow(lambda it: _parse(it, people), schema)
+    named = gathered.select("relation", "value", "before", "stats").mapInArrow(lambda it: _parse(it, people, vocabulary), schema)
     blank = F.lit("")
     wordless = names.filter(F.size("words") == 0).select("relation", "value", blank.alias("core"), blank.alias("other"), blank.alias("middle"), F.lit(False).alias("partial"))
     return named.unionByName(wordless)
 
 
+def alike(core_a: str, core_b: str, other_a: str, other_b: str) -> bool:
+    """Whether the longest common subsequence of two names that differ in one field says that they are spellings of one."""
+    if other_a[-2:-1] == " " == other_b[-2:-1] and other_a != other_b:
+        return False  # different middle initials
+    if _NUMBERS.sub("", core_a + other_a) != _NUMBERS.sub("", core_b + other_b):
+        return False  # numbers aren't misspelt
+    if lcs_ratio(f"{core_a} {other_a}", f"{core_b} {other_b}") < LEAST_RATIO:
+        return False
+    return lcs_ratio(core_a, core_b) >= LEAST_FIELD if other_a == other_b else lcs_ratio(other_a, other_b) >= LEAST_FIELD
+
+
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose names have a high longest-common-subsequence ratio and differ by one slip of the pen."""
     for b in batches:
-        rows = []
-        for a, c, core_a, core_b, other_a, other_b in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
-            if other_a[-2:-1] == " " == other_b[-2:-1] and other_a != other_b:
-                continue  # different middle initials
-            if _NUMBERS.sub("", core_a + other_a) != _NUMBERS.sub("", core_b + other_b):
-                continue  # numbers aren't misspelt
-            if lcs_ratio(f"{core_a} {other_a}", f"{core_b} {other_b}") >= LEAST_RATIO and edits(core_a, core_b, 1) + edits(other_a, other_b, 1) <= 1:
-                rows.append((a, c))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["a", "b"])
+        keep = [alike(*row) for row in zip(*[b.column(i).to_pylist() for i in range(3, 7)], strict=True)]
+        yield b.filter(pa.array(keep, pa.bool_()))
 
 
 def _with_deletions(c: str):
-    """The text and all that is left of it after one deletion: texts that are one slip apart have one of these in common."""
-    return F.array_union(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c))), lambda i: F.concat(F.left(c, i - 1), F.substr(c, i + 1))))
+    """Hashes of the text and of all that is left of it after one deletion: texts that are one slip apart have one of these in common."""
+    left = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c))), lambda i: F.xxhash64(F.concat(F.left(c, i - 1), F.substr(c, i + 1))))
+    return F.array_union(F.array(F.xxhash64(c)), left)
 
 
 def _close(x: DataFrame, y: DataFrame, on) -> DataFrame:
-    """a, b, ca, cb, oa, ob of pairs of keys under a condition that differ little in one of the two fields."""
-    close = (
-        (F.col("x.other") == F.col("y.other")) & F.levenshtein("x.core", "y.core", 2).between(0, 2)
-        | (F.col("x.core") == F.col("y.core")) & (F.least(F.length("x.other"), F.length("y.other")) >= 4) & F.levenshtein("x.other", "y.other", 2).between(0, 2)
-    )
+    """relation, a, b, ca, cb, oa, ob of pairs of keys under a condition that differ in one of the two fields, and by no more edits than the
+    ratio allows letters outside the common subsequence."""
+    letters = F.length("x.core") + F.length("y.core") + F.length("x.other") + F.length("y.other") + 2
+    near = lambda c: F.levenshtein(f"x.{c}", f"y.{c}") <= (1 - LEAST_RATIO) * letters + 1e-9
+    close = (F.col("x.other") == F.col("y.other")) & near("core") | (F.col("x.core") == F.col("y.core")) & (F.least(F.length("x.other"), F.length("y.other")) >= 4) & near("other")
     pairs = x.join(y, (F.col("x.relation") == F.col("y.relation")) & on & (F.col("x.key") < F.col("y.key")) & close)
-    named = (("x.key", "a"), ("y.key", "b"), ("x.core", "ca"), ("y.core", "cb"), ("x.other", "oa"), ("y.other", "ob"))
+    named = (("x.relation", "relation"), ("x.key", "a"), ("y.key", "b"), ("x.core", "ca"), ("y.core", "cb"), ("x.other", "oa"), ("y.other", "ob"))
     return pairs.select(*[F.col(c).alias(n) for c, n in named]).distinct()
 
 
 def similar_keys(keys: DataFrame, block: int = BLOCK) -> DataFrame:
     """a, b of similar keys. keys: key, relation, core, other.
 
-    The index holds every suffix of the core from LEAST_SUFFIX letters on. A suffix that more than ``block`` keys share is refined with the
-    other field; only refined blocks that are still larger are discarded. For slips in the last letters the index holds the
-    suffixes of the core read backwards too, refined from the start. Nothing is lost with what is discarded: keys of such blocks,
-    and those of short cores, are joined on what is left of a field after one deletion, where a group holds no more than a few hundred keys by its nature.
+    The index holds the suffixes of both tokens of a name. Every suffix of the core from LEAST_SUFFIX letters on is a block. One that more
+    than ``block`` keys share is refined with the other token; only refined blocks that are still larger are discarded. The suffix
+    that is the whole other token (a given name, a trade) is too common as it stands, so it is refined with the first letters of
+    the core: it finds slips in the core's end. Keys of a block are compared by the ratios of their longest common subsequence.
+
+    No pair that is one slip apart is lost with what is discarded: keys of such blocks, and those of cores too short for a slip to leave a suffix,
+    are joined on what is left of a field after one deletion. Pairs with more slips (long names) are found in any block they share, else
+    through a spelling between them.
     """
-    suffixes = F.transform(F.sequence(F.lit(LEAST_SUFFIX), F.length("core")), lambda n: F.substr("core", F.length("core") - n + 1))
-    suffix = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(suffixes).alias("block"))
-    counted = suffix.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
+    size = F.length("core")
+    suffixes = F.transform(F.sequence(F.lit(LEAST_SUFFIX), size), lambda n: F.substr("core", size - n + 1))
+    indexed = keys.filter(size >= LEAST_SUFFIX)
+    suffix = indexed.select("*", F.explode(suffixes).alias("block"))
+    counted = suffix.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     large = F.col("n") > block
-    blocks = suffix.join(counted.filter("n > 1"), ["relation", "block"]).select(
+    blocks = suffix.join(counted, ["relation", "block"]).select(
         *keys.columns, F.when(large, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")).alias("block"), (large & (F.col("block") == F.col("core"))).alias("split")
     )
-    starts = F.transform(F.sequence(F.lit(LEAST_SUFFIX - 1), F.greatest(F.lit(LEAST_SUFFIX - 1), F.length("core") - 1)), lambda n: F.left("core", n))
-    mirrored = keys.filter(F.length("core") >= LEAST_SUFFIX).select("*", F.explode(starts).alias("start")).filter(F.length("start") >= F.when(F.col("other") == "", LEAST_SUFFIX).otherwise(LEAST_SUFFIX - 1))
-    whole = mirrored.select(*keys.columns, F.concat_ws("\x1e", "other", "start").alias("block"), F.lit(False).alias("split"))
-    blocks = materialize(blocks.unionByName(whole), "blocks")
+    shortest = F.when(F.col("other") == "", LEAST_SUFFIX).otherwise(LEAST_SUFFIX - 1)
+    starts = F.transform(F.sequence(shortest, F.greatest(shortest, size - 1)), lambda n: F.left("core", n))
+    second = indexed.select("*", F.explode(starts).alias("start")).select(*keys.columns, F.concat_ws("\x1e", "other", "start").alias("block"), F.lit(False).alias("split"))
+    blocks = materialize(blocks.unionByName(second), "blocks")
     sizes = blocks.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
     held = blocks.join(sizes.filter(F.col("n").between(2, block)).drop("n"), ["relation", "block"])
     pairs = _close(held.alias("x"), held.alias("y"), F.col("x.block") == F.col("y.block"))
 
     discarded = blocks.join(sizes.filter(F.col("n") > block).drop("n"), ["relation", "block"], "left_semi").unionByName(blocks.filter("split"))
-    short = keys.filter(F.length("core") <= 2 * LEAST_SUFFIX)  # a slip in the middle may leave both ends shorter than the shortest suffix
+    short = keys.filter(size <= 2 * LEAST_SUFFIX)
     rest = materialize(discarded.select(*keys.columns).unionByName(short).distinct(), "rest")
     for field, same in (("core", "other"), ("other", "core")):
         left = rest.withColumn("v", F.explode(_with_deletions(field)))
         on = (F.col(f"x.{same}") == F.col(f"y.{same}")) & (F.col("x.v") == F.col("y.v"))
         pairs = pairs.unionByName(_close(left.alias("x"), left.alias("y"), on))
-    return pairs.distinct().mapInArrow(_near, "a string, b string")
+    found = pairs.distinct().mapInArrow(_near, pairs.schema)
+
+    uses = keys.groupBy("relation", "other").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OF_ITS_OWN)
+    use = lambda o: uses.select("relation", F.col("other").alias(o), F.col("n").alias(f"n_{o}"))
+    both = found.join(use("oa"), ["relation", "oa"], "left").join(use("ob"), ["relation", "ob"], "left")
+    own = (F.col("oa") != F.col("ob")) & (F.least("n_oa", "n_ob") * LOPSIDED > F.greatest("n_oa", "n_ob")) & F.col("n_oa").isNotNull() & F.col("n_ob").isNotNull()
+    return both.filter(~F.coalesce(own, F.lit(False))).select("a", "b")
 
 
 def name_groups(values: DataFrame, people: list[str]) -> DataFrame:
@@ -261,20 +308,17 @@ def name_groups(values: DataFrame, people: list[str]) -> DataFrame:
     parts = components(similar_keys(full), "name-parts")
     full = materialize(full.join(parts, full.key == parts.node, "left").select("key", "relation", "core", "other", F.coalesce("component", "key").alias("component")), "full")
 
-    # what a partial name may stand for
-    pets = F.create_map(*[x for k, v in PET_NAMES.items() for x in (F.lit(k), F.array(*[F.lit(g) for g in v]))])
-    partial = names.filter("partial AND core <> ''").select(F.col("key").alias("pkey"), "relation", "core", F.col("other").alias("hint")).distinct()
-    fits = (
-        (F.col("hint") == "")
-        | (F.length("hint") == 1) & (F.left("other", F.lit(1)) == F.col("hint"))
-        | F.coalesce(F.array_contains(F.try_element_at(pets, F.col("hint")), F.substring_index("other", " ", 1)), F.lit(False))
-        | (F.col("other") == F.col("hint"))
-        | F.startswith(F.col("other"), F.concat(F.col("hint"), F.lit(" ")))
-    )
-    attached = (
-        partial.join(full, ["relation", "core"]).filter(fits).groupBy("pkey").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .filter("least = most").select(F.col("pkey").alias("key"), F.col("least").alias("component"))
-    )
+    # what a partial name may stand for: each full name tells its component to all its short forms, with partial sums
+    pets: dict[str, list[str]] = {}
+    for pet, given in PET_NAMES.items():
+        for g in given:
+            pets.setdefault(g, []).append(pet)
+    pets_of = F.create_map(*[x for g, v in sorted(pets.items()) for x in (F.lit(g), F.array(*[F.lit(p) for p in v]))])
+    given = F.substring_index("other", " ", 1)
+    forms = F.array_union(F.array(F.lit(""), F.left("other", F.lit(1)), given, F.col("other")), F.coalesce(F.try_element_at(pets_of, given), F.array().cast("array<string>")))
+    told = full.select("relation", "core", F.explode(forms).alias("hint"), "component").groupBy("relation", "core", "hint").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    partial = names.filter("partial AND core <> ''").select(F.col("key"), "relation", "core", F.col("other").alias("hint")).distinct()
+    attached = partial.join(told.filter("least = most"), ["relation", "core", "hint"]).select("key", F.col("least").alias("component"))
     where = full.select("key", "component").unionByName(attached)
     return names.join(where, "key", "left").select("relation", "value", F.coalesce("component", "key").alias("group_id"))
 

@@ -78,15 +78,53 @@ def test_no_pair_is_lost_with_large_blocks(spark):
     keys = sorted({(word(rng.randint(5, 7)), rng.choice(["", "anna", "anne", "bernd", "x"])) for _ in range(220)})
     rows = [(f"{c}/{o}", "r", c, o) for c, o in keys]
     df = spark.createDataFrame(rows, "key string, relation string, core string, other string")
-    wanted = set()
+    wanted, all_alike = set(), set()
+    uses = __import__("collections").Counter(o for _, o in keys)
     for k1, _, c1, o1 in rows:
         for k2, _, c2, o2 in rows:
-            if k1 < k2 and lcs_ratio(f"{c1} {o1}", f"{c2} {o2}") >= names.LEAST_RATIO and (c1 == c2 and min(len(o1), len(o2)) >= 4 and edits(o1, o2, 1) == 1 or o1 == o2 and edits(c1, c2, 1) == 1):
-                wanted.add((k1, k2))
+            own = o1 != o2 and min(uses[o1], uses[o2]) >= names.OF_ITS_OWN and min(uses[o1], uses[o2]) * names.LOPSIDED > max(uses[o1], uses[o2])
+            if k1 < k2 and not own and names.alike(c1, c2, o1, o2) and (c1 == c2 and min(len(o1), len(o2)) >= 4 or o1 == o2):
+                all_alike.add((k1, k2))
+                if edits(o1, o2, 1) + edits(c1, c2, 1) == 1:
+                    wanted.add((k1, k2))
     assert len(wanted) > 50
     for block in (2, 5):  # nearly all blocks are too large
         got = {tuple(r) for r in names.similar_keys(df, block).collect()}
-        assert got == wanted, (got - wanted, wanted - got)
+        assert wanted <= got <= all_alike, (got - all_alike, wanted - got)
+
+
+def similar(spark, keys):
+    df = spark.createDataFrame([(f"{c}/{o}", "r", c, o) for c, o in keys], "key string, relation string, core string, other string")
+    return {tuple(r) for r in names.similar_keys(df).collect()}
+
+
+def test_the_ratio_decides_and_the_index_finds(spark, monkeypatch):
+    keys = [("zorusavumekrath", "lighting"), ("zorosavumikrath", "lighting"), ("lukorotem", "tool"), ("lumekoroth", "tool"), ("model7a", "x"), ("model8a", "x"), ("grukebidol", "anna"), ("grukebidol", "anne")]
+    pair, given = ("zorosavumikrath/lighting", "zorusavumekrath/lighting"), ("grukebidol/anna", "grukebidol/anne")
+    assert similar(spark, keys) == {pair}  # two slips in a long name; the short field falls below its own ratio
+    monkeypatch.setattr(names, "LEAST_RATIO", 0.95)
+    assert similar(spark, keys) == set()
+    monkeypatch.setattr(names, "LEAST_RATIO", 0.0)
+    monkeypatch.setattr(names, "LEAST_FIELD", 0.0)
+    assert {pair, given} <= similar(spark, keys)
+    monkeypatch.setattr(names, "LEAST_SUFFIX", 40)  # nothing is indexed: only the join on deletions is left
+    assert pair not in similar(spark, keys)
+
+
+def test_common_given_names_are_no_slips_of_each_other(spark):
+    cores = ["bastikoforan", "drogumelitha", "fekrubasonil", "gastodremuk", "hivolekaster"]
+    keys = [(c, o) for c in cores for o in ("stephen", "stephan")] + [("kromidolever", "stephen"), ("kromidolever", "stehpen")]
+    assert similar(spark, keys) == {("kromidolever/stehpen", "kromidolever/stephen")}
+
+
+def test_words_of_businesses_are_learned(spark):
+    rng = __import__("random").Random(7)
+    core = lambda: "".join(rng.choice(["ra", "ke", "mo", "lu", "ti", "zo", "ba"]) for _ in range(5))
+    cores = sorted({core() for _ in range(120)})
+    values = [(f"{c.title()} {t} {f}") for i, c in enumerate(cores) for t, f in [(["Quarry", "Falcon"][i % 2], ["Werke", "Sippe"][i // 2 % 2])]]
+    got = groups(spark, [("b", v) for v in values] + [("b", f"{cores[0].title()} Quarry Sippe"), ("b", f"{cores[0].title()} Falcon Werke")], ())
+    one = {x for x in got if any(v.startswith(cores[0].title() + " ") for v in x)}
+    assert one == {frozenset([values[0], f"{cores[0].title()} Quarry Sippe"]), frozenset([f"{cores[0].title()} Falcon Werke"])}  # the form says nothing, the trade does
 
 
 def test_names_edge_cases(spark):
