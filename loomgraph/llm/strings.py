@@ -13,6 +13,8 @@ _PLAIN = str.maketrans({"ß": "ss", "ø": "o", "ł": "l", "đ": "d", "æ": "ae",
 
 def fold(s: str) -> str:
     """Case-folded compatibility form without accents."""
+    if s.isascii():
+        return s.lower()
     return unicodedata.normalize("NFD", unicodedata.normalize("NFKC", s).lower()).translate(_MARKS).translate(_PLAIN)
 
 
