@@ -37,8 +37,8 @@ _CUES = [
     ("html", "cut tag", 2.0, r"<(?:a\s+href|img\s+src|div\s+\w+=|span\s+\w+=|p\s+\w+=)[^<>]*\Z"),
     ("html", "reference", 4.0, r"&(?P<ref>#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"),
     ("markdown", "fence", 4.0, r"^[ \t]*```[^\n`]*$|```"),
-    ("markdown", "heading", 3.0, r"^#{2,6} +\S[^\n]*$"),
-    ("markdown", "number sign", -0.6, r"^# +[^\s\[][^\n]*$"),
+    ("markdown", "heading", 3.0, r"^#{2,6} +(?=\S)"),
+    ("markdown", "number sign", -0.6, r"^# +(?=[^\s\[])"),
     ("markdown", "underline", 3.0, r"(?<=\S)\n(?:={3,}|-{3,})[ \t]*$"),
     ("markdown", "image", 4.0, r"!\[[^\]\[]*\]\s?\(\s*[^()\s]+\s*\)"),
     ("markdown", "link", 4.0, r"(?<!!)\[[^\]\[]+\]\(\s*[^()\s]+\s*\)|(?<!!)\[[^\]\[]+\]\s\(\s*https?://[^()\s]+\s*\)"),
@@ -50,19 +50,19 @@ _CUES = [
     ("markdown", "code", 2.5, r"(?<!`)`(?=[^\s`])(?:[^`\n]|\n(?![^\S\n]*\n))+?(?<=[^\s`])`(?!`)"),
     ("markdown", "table rule", 4.0, r"^\|? ?:?-{3,}:? ?(?:\| ?:?-{2,}:? ?)+\|?[ \t]*$"),
     ("markdown", "table row", -0.3, r"^\|(?![|}\-+])[^\n|=]*\|(?!\|)[^\n|]*\|[ \t]*$"),
-    ("markdown", "quote", 1.2, r"^> +(?=[^\d\s])[^\n]*$"),
+    ("markdown", "quote", 1.2, r"^> +(?=[^\d\s])"),
     ("markdown", "quote line", -0.4, r"^>[ \t]*(?:\d[^\n]*)?$"),
-    ("markdown", "item", -0.8, r"^[ \t]*(?:[-+]|\d{1,3}\.) +\S"),
+    ("markdown", "item", -0.8, r"^[ \t]*(?:[-+]|\d{1,3}\.) +(?=\S)"),
     ("wiki", "link", 4.0, r"\[\[[^\[\]]+\]\]"),
     ("wiki", "template", 4.0, r"\{\{[^{}]+\}\}|\{\{(?=[A-Z][a-z])|^\}\}"),
-    ("wiki", "table", 3.5, r"^\{\|[^\n]*$|^\|\}[ \t]*$"),
+    ("wiki", "table", 3.5, r"^\{\|[^\n]*$|^\|\}(?=\s|$)"),
     ("wiki", "table line", 1.0, r"^\|-[ \t]*$|^\|[^\n|]*\|\|[^\n]*$|^\|\+[^\n]*$|^![^\n!]*!![^\n]*$"),
     ("wiki", "bold", 3.0, r"(?<![\w'])'''(?=[^\s'])(?:[^'\n]|\n(?![^\S\n]*\n))+?(?<=[^\s'])'''(?![\w'])"),
     ("wiki", "italic", 2.5, r"(?<![\w'])''(?=[^\s'])(?:[^'\n]|\n(?![^\S\n]*\n))+?(?<=[^\s'])''(?![\w'])"),
     ("wiki", "heading", 3.0, r"^(?P<eq>={2,6}) *(?=[^\s=])(?:[^=\n]|\n(?![^\S\n]*\n))+?(?<=[^\s=]) *(?P=eq)[ \t]*$"),
-    ("wiki", "item", -0.6, r"^(?:[*#]+|[:;]+) +\S"),
+    ("wiki", "item", -0.6, r"^(?:[*#]+|[:;]+) +(?=\S)"),
     ("latex", "environment", 4.0, r"\\(?:begin|end)\{[a-zA-Z]+\*?\}"),
-    ("latex", "command", 3.5, r"(?<![:\w\\])\\(?:sub)*(?!begin|end)[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{"),
+    ("latex", "command", 3.5, r"(?:(?<=\S)~)?(?<![:\w\\])\\(?:sub)*(?!begin|end)[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?\{"),
     ("latex", "command after text", 3.0, r"(?<=[\w.~,;)])~?\\(?:cite|ref|footnote|label|url|href|eqref)\{"),
     ("latex", "item", 3.0, r"^[ \t]*\\item\b(?!\\)"),
     ("latex", "display", 3.0, r"(?<!\\)\\\[(?=(?:(?!\\\[)[^\n]|\n(?![^\S\n]*\n))+?\\\])|\\\]"),
@@ -71,6 +71,8 @@ _CUES = [
     ("latex", "short formula", 2.0, r"(?<![\\$\w])\$(?=[A-Za-z\\(])[^$\n ]{0,40}[\^_=][^$\n]{0,40}\$(?!\w)"),
     ("latex", "symbol", 1.0, r"(?<![:\w\\])\\(?:frac|sqrt|cdot|times|approx|alpha|beta|gamma|pi|rho|sum|int|leq|geq|ldots|mathrm|textit)\b"),
 ]
+#: Cues that span a line in which others may stand.
+_LINES = ("table line", "table row")
 _SPACED = re.compile(r"[ \t]+$", re.M)
 
 #: Smoothness: capacity between cues of one kind that follow each other at once; it halves with each REACH letters.
@@ -111,7 +113,7 @@ class Labeller:
             for n in ns:
                 if n[0] >= end:
                     kept.append(n)
-                    end = n[1]
+                    end = n[0] + 1 if n[2] in _LINES else n[1]
                 elif n[3] > kept[-1][3]:
                     kept[-1] = n
                     end = n[1]
@@ -225,10 +227,29 @@ def _rows(text: str) -> str:
     return "| " + " | ".join(cells) + " |"
 
 
+#: Signs that a conversion may start at.
+_SIGNS = frozenset("*_~`>#|=<&[{'\\$!:;")
+#: Code points for private use, of which a text needs a stretch of 128 that it doesn't use itself.
+_PRIVATE = (0xE000, 0xF0000, 0x100000)
+
+
+def hidden(text: str, labelled: dict[str, list[tuple[int, int, str, float, str]]]) -> tuple[str, dict[int, str]]:
+    """Text whose signs outside the labelled spans are private code points, which no conversion knows, and the way back."""
+    base = next(b for start in _PRIVATE for b in range(start, start + 0x1000, 0x80) if not any(b <= ord(c) < b + 0x80 for c in text))
+    out = list(text)
+    last = 0
+    for start, end in sorted((n[0], n[1]) for ns in labelled.values() for n in ns) + [(len(text), len(text))]:
+        for i in range(last, start):
+            if out[i] in _SIGNS:
+                out[i] = chr(base + ord(out[i]))
+        last = max(last, end)
+    return "".join(out), {base + ord(c): c for c in _SIGNS}
+
+
 def clean(text: str, labelled: dict[str, list[tuple[int, int, str, float, str]]]) -> str:
-    """Text without the labelled markup. What remains of the structure: headings as ``# ``, items as ``- ``, code between
-    lines of three backticks, table rows as ``| a | b |`` and formulas between dollar signs."""
-    out = text
+    """Text without the labelled markup; signs outside the labelled spans stay as they are. What remains of the structure: headings as
+    ``# ``, items as ``- ``, code between lines of three backticks, table rows as ``| a | b |`` and formulas between dollar signs."""
+    out, back = hidden(text, labelled)
     if "latex" in labelled:
         out = re.sub(r"\\(?:sub)*section\*?\{([^{}]*)\}", r"\n# \1\n", out)
         out = re.sub(r"\\(?:textbf|textit|emph|underline|texttt|title)\{([^{}]*)\}", r"\1", out)
@@ -276,7 +297,7 @@ def clean(text: str, labelled: dict[str, list[tuple[int, int, str, float, str]]]
         if once != out:  # escaped tags
             once = re.sub(r"</?([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?/?>", lambda m: "" if m[1].lower() in ELEMENTS else m[0], once)
         out = once.replace("\xa0", " ")
-    return re.sub(r"\n{3,}", "\n\n", _SPACED.sub("", out)).strip()
+    return re.sub(r"\n{3,}", "\n\n", _SPACED.sub("", out)).strip().translate(back)
 
 
 def residue(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:

@@ -103,3 +103,29 @@ def test_learns_from_twins(spark):
     assert set(got) == {100, 101, 102, 103, 104, 200, 201, 206}
     assert got[100] == lines[0].format(0) and got[201] == "für größere Küchen gut" and got[206] == "niemals zuvor gesehene Wörter äöüß"
     assert garble.garbled(df.limit(0)).count() == 0
+
+
+def cleaned(text):
+    return markup.clean(text, markup.Labeller().label(text))
+
+
+def test_only_what_the_cut_labels_is_removed():
+    far = " ".join(["plain words about the kettle"] * 60)
+    assert cleaned(f"**bold** {far}\n\n> 30 degrees is too hot") == f"bold {far}\n\n> 30 degrees is too hot"
+    assert cleaned("> quoted *words* here\n> 30 degrees is too hot") == "quoted words here\n30 degrees is too hot"
+    assert cleaned("**bold** rated 5* by us, 4* by them & 2 < 3") == "bold rated 5* by us, 4* by them & 2 < 3"
+    assert cleaned("<b>bold</b> AT&T &amp; 3 < 4, <item name> stays") == "bold AT&T & 3 < 4, <item name> stays"
+
+
+def test_the_cut_differs_from_the_signs_of_the_weights():
+    text = "{| class='x'\n| a || b\n|-\n* hand lotion\n* soft [[cushion]]\n|}"
+    labeller = markup.Labeller()
+    signs = {k: [n for n in ns if n[3] > 0] for k, ns in labeller.nodes(text).items()}
+    assert markup.clean(text, labeller.label(text)) != markup.clean(text, signs)
+
+
+def test_long_spans_and_private_signs():
+    for n in (301, 10_000):
+        words = "x" * n
+        assert cleaned(f"**{words}**") == words and cleaned(f"[[{words}]]") == words and "wiki" in markup.Labeller().label("{{" + words + "|a}}")
+    assert cleaned(" **a** \U000f0023 b*c") == " a \U000f0023 b*c"
