@@ -28,31 +28,51 @@ def plain_subject(c: Column) -> Column:
 
 
 def coverage(kg: DataFrame, link: DataFrame, text: DataFrame, image: DataFrame) -> DataFrame:
-    """One row: products, with_text, with_image (shares), without_triples, homonyms. All by product_id."""
+    """One row: products, with_text, with_image, with_both (shares), without_triples, homonyms. All by product_id."""
     ids = link.filter("product_id IS NOT NULL").groupBy("product_id").agg(F.max("n_homonyms").alias("n_homonyms"))
     mark = lambda t, name: t.filter("product_id IS NOT NULL").select("product_id").distinct().withColumn(name, F.lit(1))
     all_ = ids.join(mark(text, "t"), "product_id", "left").join(mark(image, "i"), "product_id", "left").join(mark(kg, "k"), "product_id", "left")
+    share = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+    has = lambda c: F.col(c).isNotNull()
     return all_.agg(
-        F.count(F.lit(1)).alias("products"), F.avg(F.coalesce("t", F.lit(0))).alias("with_text"), F.avg(F.coalesce("i", F.lit(0))).alias("with_image"),
-        F.count_if(F.col("k").isNull()).alias("without_triples"), F.count_if(F.col("n_homonyms") > 1).alias("homonyms"),
+        F.count(F.lit(1)).alias("products"), share(has("t")).alias("with_text"), share(has("i")).alias("with_image"), share(has("t") & has("i")).alias("with_both"),
+        F.count_if(~has("k")).alias("without_triples"), F.count_if(F.col("n_homonyms") > 1).alias("homonyms"),
     )
 
 
-def url_reason(url: Column, product_id: Column, hosts: str = r"^https://img\d+\.shop\.example/", form: str = r"/i/[A-Z0-9]+\._L\d+_\.jpg$") -> Column:
-    """The first fault of an address: not an address, insecure, unknown host, unexpected form, the product's id as name; null if none."""
+#: Form of an address of a picture: host and name are its groups. Hosts that answer, and the form of a product's id, which is no picture's name.
+PICTURE, HOSTS, PRODUCT = r"^https://([^/]+)/i/([A-Za-z0-9]+)(?:\._[A-Za-z0-9,]+_)?\.(?:jpg|jpeg|png)$", r"^img\d+\.shop\.example$", r"^Q[A-Z0-9]{7}$"
+
+
+def url_reason(url: Column, form: str = PICTURE, hosts: str = HOSTS, product: str = PRODUCT) -> Column:
+    """The first fault of an address: not an address, insecure, unexpected form, unknown host, a product's id as name; null if none."""
+    part = lambda i: F.regexp_extract(url, form, i)
     return (
-        F.when(url.isNull() | ~url.rlike("^https?://"), "not http").when(F.startswith(url, F.lit("http://")), "insecure").when(~url.rlike(hosts), "unknown host")
-        .when(~url.rlike(form), "unexpected form").when(F.contains(url, F.concat(F.lit("/"), product_id, F.lit("."))), "id as name")
+        F.when(url.isNull() | ~F.startswith(url, F.lit("http")), "not http").when(F.startswith(url, F.lit("http://")), "insecure").when(~url.rlike(form), "unexpected form")
+        .when(~part(1).rlike(hosts), "unknown host").when(part(2).rlike(product), "id as name")
     )
 
 
 def url_faults(image: DataFrame) -> DataFrame:
     """reason, n_rows, n_products, example (the first by code point)."""
-    return image.withColumn("reason", url_reason(F.col("url"), F.col("product_id"))).filter("reason IS NOT NULL").groupBy("reason").agg(
+    return image.withColumn("reason", url_reason(F.col("url"))).filter("reason IS NOT NULL").groupBy("reason").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("product_id").alias("n_products"), F.min("url").alias("example")
     )
 
 
+def image_form(image: DataFrame, link: DataFrame) -> DataFrame:
+    """variant, n_rows, n_products, n_faulty, coverage: pictures by variant and in all (variant null), and the share of the products of link that
+    they cover. Both by product_id."""
+    expected = link.filter("product_id IS NOT NULL").agg(F.count_distinct("product_id").alias("expected"))
+    stats = image.withColumn("faulty", url_reason(F.col("url")).isNotNull()).rollup("variant").agg(
+        F.grouping("variant").alias("all_variants"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("product_id").alias("n_products"), F.count_if("faulty").alias("n_faulty")
+    )
+    named = stats.select(F.when(F.col("all_variants") == 1, F.lit("(all)")).otherwise(F.coalesce("variant", F.lit("(none)"))).alias("variant"), "n_rows", "n_products", "n_faulty")
+    return named.crossJoin(F.broadcast(expected)).select(  # one row
+        "variant", "n_rows", "n_products", "n_faulty", F.when(F.col("expected") > 0, F.round(100 * F.col("n_products") / F.col("expected"), 1)).otherwise(0.0).alias("coverage")
+    )
+
+
 def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int = 13) -> DataFrame:
     """n rows of each stratum, the ones with the smallest hash of seed and key: always the same, and any larger n holds a smaller one's rows."""
     draw = F.struct(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))

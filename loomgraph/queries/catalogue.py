@@ -375,7 +375,7 @@ def signal_split(spark, d):
 
 @query(
     f"WITH ids AS (SELECT {ID('product_id')} AS p, max(n_homonyms) AS h FROM kg_link WHERE product_id IS NOT NULL GROUP BY ALL), t AS (SELECT DISTINCT {ID('product_id')} AS p FROM kg_text), i AS (SELECT DISTINCT {ID('product_id')} AS p FROM kg_image), k AS (SELECT DISTINCT {PID} AS p FROM kg_triples WHERE contains(subject, '##')) "
-    "SELECT count(*) AS products, avg(CASE WHEN p IN (SELECT p FROM t WHERE p IS NOT NULL) THEN 1.0 ELSE 0 END) AS with_text, avg(CASE WHEN p IN (SELECT p FROM i WHERE p IS NOT NULL) THEN 1.0 ELSE 0 END) AS with_image, count(*) FILTER (p NOT IN (SELECT p FROM k WHERE p IS NOT NULL)) AS without_triples, count(*) FILTER (h > 1) AS homonyms FROM ids"
+    "SELECT count(*) AS products, avg(CASE WHEN p IN (SELECT p FROM t WHERE p IS NOT NULL) THEN 1.0 ELSE 0 END) AS with_text, avg(CASE WHEN p IN (SELECT p FROM i WHERE p IS NOT NULL) THEN 1.0 ELSE 0 END) AS with_image, avg(CASE WHEN p IN (SELECT p FROM i WHERE p IS NOT NULL) AND p IN (SELECT p FROM t WHERE p IS NOT NULL) THEN 1.0 ELSE 0 END) AS with_both, count(*) FILTER (p NOT IN (SELECT p FROM k WHERE p IS NOT NULL)) AS without_triples, count(*) FILTER (h > 1) AS homonyms FROM ids"
 )
 def audit_coverage(spark, d):
     link, text, image = _modalities(spark, d)
@@ -383,9 +383,14 @@ def audit_coverage(spark, d):
 
 
 _RV = "rv AS (SELECT relation, value, count(*) AS n FROM kg_triples WHERE relation IS NOT NULL AND value IS NOT NULL GROUP BY ALL)"
-_NUMERIC = r"nr AS (SELECT relation, avg(CASE WHEN regexp_matches(value, '^[\s\d.,%$€£+<>=-]*\d[\s\d.,%$€£+<>=-]*$') THEN 1 ELSE 0 END) >= 0.5 AS num FROM rv GROUP BY relation)"
-_FAULT = rf"""CASE WHEN trim(value) = '' THEN 'empty' WHEN {K('value')} = '' OR {K('value')} IN ({', '.join(repr(x) for x in audit.NOISE)}) THEN 'noise'
- WHEN regexp_matches(value, '<[a-zA-Z/][^>]*>|&[a-z]+;|&#\d+;') THEN 'html' WHEN length(value) > 80 THEN 'long' WHEN NOT num AND regexp_matches(value, '^[\d\s.,%-]+$') THEN 'numeric' WHEN NOT num AND length(value) <= 1 THEN 'short' END"""
+_PLAIN = "lower(strip_accents(value))"
+_RELAXED = f"regexp_replace({_PLAIN}, '[^0-9a-z]+', '', 'g')"
+_WORDS = "list_filter(regexp_split_to_array(lower(strip_accents({0})), '[^0-9a-z]+'), lambda w: w <> '')"
+_NUMBERS = r"regexp_matches(trim(value), '^[\d\s.,:/+-]+$')"
+_NUMERIC = rf"nr AS (SELECT relation, 2 * count(*) FILTER ({_NUMBERS} OR regexp_matches(trim(value), '(?i)^\s*\d[\d.,]*\s*([-a-z]{{1,3}}\s*\d[\d.,]*|\+)\s*$')) >= count(*) AS num FROM rv GROUP BY relation)"
+_FAULT = rf"""CASE WHEN trim(value) = '' THEN 'empty'
+ WHEN NOT num AND lower(trim(value)) IN ('n/a', 'na', 'none', 'null', 'unknown', '-', '--', 'other', 'others', 'misc', 'miscellaneous', 'see description', 'not applicable', 'various', 'assorted', 'default', '0', '1', 'no', 'yes') THEN 'noise'
+ WHEN regexp_matches(trim(value), '<[^>]+>|&[a-z]+;|&#\d+;') THEN 'html' WHEN length(trim(value)) > 80 THEN 'long' WHEN NOT num AND {_NUMBERS} THEN 'numeric' WHEN NOT num AND length(trim(value)) <= 1 THEN 'short' END"""
 _POLL = f"poll AS (SELECT relation, fault, count(*) AS distinct_values, sum(n)::BIGINT AS occurrences FROM (SELECT relation, n, {_FAULT} AS fault FROM rv JOIN nr USING (relation)) WHERE fault IS NOT NULL GROUP BY relation, fault)"
 
 
@@ -394,12 +399,13 @@ def audit_pollution(spark, d):
     return audit.pollution(audit.relation_values(table(spark, d, "kg_triples")))
 
 
-_MISSED = f"""ky AS (SELECT *, {K('value')} AS key FROM rv WHERE {K('value')} <> ''), g AS (
+_MISSED = f"""ky AS (SELECT *, {_RELAXED} AS key, {_WORDS.format('value')} AS w FROM rv), g AS (
   SELECT relation, 'key' AS family, key AS k, key, value, n FROM ky
-  UNION ALL SELECT relation, 'words', array_to_string(list_sort(string_split(key, ' ')), ' '), key, value, n FROM ky WHERE contains(key, ' ')
-  UNION ALL SELECT relation, 'first word', split_part(key, ' ', 1), key, value, n FROM ky WHERE length(split_part(key, ' ', 1)) > 3),
-h AS (SELECT relation, family, k, count(*) AS n_values, sum(n)::BIGINT AS occurrences FROM g GROUP BY relation, family, k HAVING count(*) > 1 AND (family = 'key' OR count(DISTINCT key) > 1)),
-missed AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY relation, family ORDER BY occurrences DESC, k) <= 15)"""
+  UNION ALL SELECT relation, 'words', array_to_string(list_sort(list_distinct(w)), ' '), key, value, n FROM ky
+  UNION ALL SELECT relation, 'first word', w[1], key, value, n FROM ky WHERE length(w[1]) > 3),
+h AS (SELECT relation, family, k, count(*) AS n_values, sum(n)::BIGINT AS occurrences, list_sort(list(value)) AS members, count(DISTINCT key) AS keys FROM g WHERE k <> '' GROUP BY relation, family, k HAVING count(*) > 1),
+u AS (SELECT * FROM h WHERE family = 'key' OR family = 'first word' AND keys > 1 OR family = 'words' AND (relation, members) NOT IN (SELECT (relation, members) FROM h WHERE family = 'key')),
+missed AS (SELECT relation, family, k, n_values, occurrences FROM u QUALIFY row_number() OVER (PARTITION BY relation, family ORDER BY occurrences DESC, k) <= 15)"""
 
 
 @query(f"WITH {_RV}, {_MISSED} SELECT * FROM missed")
@@ -407,31 +413,62 @@ def audit_missed_merges(spark, d):
     return audit.missed_merges(audit.relation_values(table(spark, d, "kg_triples")))
 
 
-@query(
-    f"WITH {_RV}, {_NUMERIC}, {_POLL}, {_MISSED}, b AS (SELECT relation, count(*) AS distinct_values, sum(n)::BIGINT AS triples, avg(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS single FROM rv GROUP BY relation), "
-    "m AS (SELECT relation, count(*) AS missed FROM missed GROUP BY relation), q AS (SELECT relation, sum(occurrences) AS dirty FROM poll GROUP BY relation) "
-    "SELECT relation, triples, distinct_values, CAST(round_even(greatest(0, 100 - CASE WHEN single > 0.7 THEN 30 WHEN single > 0.5 THEN 15 ELSE 0 END - CASE WHEN distinct_values / least(triples, 1000000000) > 0.8 THEN 25 ELSE 0 END "
-    "- least(30, 300 * coalesce(missed, 0) / distinct_values) - least(25, 100 * coalesce(dirty, 0) / triples)), 0) AS INTEGER) AS score FROM b LEFT JOIN m USING (relation) LEFT JOIN q USING (relation)"
-)
-def audit_scores(spark, d):
-    return audit.scores(audit.relation_values(table(spark, d, "kg_triples")), 1_000_000_000)
+_ODD = f"""mp AS (SELECT t.relation, t.term AS value, c.canonical AS target FROM rule_terms t JOIN canon_values c USING (canonical_id)),
+sp AS (SELECT *, list_distinct({_WORDS.format('value')}) AS a, list_distinct({_WORDS.format('target')}) AS b, {_RELAXED} AS ka, {_RELAXED.replace('value', 'target')} AS kb FROM mp),
+su AS (SELECT relation, value, target, CASE WHEN len(list_intersect(a, b)) = 0 THEN 'no common word' WHEN len(list_intersect(a, b)) = 1 AND least(len(a), len(b)) >= 2 AND length(list_intersect(a, b)[1]) <= 3 THEN 'weak overlap' END AS reason
+  FROM sp WHERE ka <> kb AND len(a) > 0 AND len(b) > 0),
+odd AS (SELECT * FROM su WHERE reason IS NOT NULL QUALIFY row_number() OVER (PARTITION BY relation ORDER BY value, target) <= 15)"""
 
 
-@query(
-    f"WITH {_CNT}, {_CANON}, x AS (SELECT relation, value, target, string_split({K('value')}, ' ') AS a, string_split({K('target')}, ' ') AS b FROM canon WHERE {K('value')} <> {K('target')}) SELECT relation, value, target FROM x WHERE len(list_intersect(a, b)) = 0"
-)
+def _merges(spark: SparkSession, d: str) -> DataFrame:
+    terms, canon = table(spark, d, "rule_terms"), table(spark, d, "canon_values").select("canonical_id", F.col("canonical").alias("target"))
+    return terms.join(canon, "canonical_id").select("relation", F.col("term").alias("value"), "target")
+
+
+@query(f"WITH {_ODD} SELECT relation, value, target, reason FROM odd")
 def audit_suspicious_merges(spark, d):
-    return audit.suspicious_merges(learn.variant_map(_counted(spark, d), ["relation"]))
+    """Merges of known terms into their canonical entry."""
+    return audit.suspicious_merges(_merges(spark, d))
 
 
-@query(
-    r"SELECT CASE WHEN url IS NULL OR NOT regexp_matches(url, '^https?://') THEN 'not http' WHEN starts_with(url, 'http://') THEN 'insecure' WHEN NOT regexp_matches(url, '^https://img\d+\.shop\.example/') THEN 'unknown host' "
-    r"WHEN NOT regexp_matches(url, '/i/[A-Z0-9]+\._L\d+_\.jpg$') THEN 'unexpected form' WHEN contains(url, '/' || product_id || '.') THEN 'id as name' END AS reason, count(*) AS n_rows, count(DISTINCT product_id) AS n_products, min(url) AS example FROM kg_image GROUP BY reason HAVING reason IS NOT NULL"
+_SCORED = (
+    f"{_RV}, {_NUMERIC}, {_POLL}, {_MISSED}, {_ODD}, b AS (SELECT relation, count(*) AS distinct_values, sum(n)::BIGINT AS triples, avg(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS single FROM rv GROUP BY relation), "
+    "m AS (SELECT relation, sum(n_values - 1) AS missed FROM missed WHERE family <> 'first word' GROUP BY relation), q AS (SELECT relation, sum(distinct_values) AS dirty FROM poll GROUP BY relation), o AS (SELECT relation, count(*) AS n_odd FROM odd GROUP BY relation), "
+    f"p AS (SELECT count(DISTINCT {ID('product_id')}) AS products FROM kg_link), "
+    "scored AS (SELECT relation, triples, distinct_values, CAST(round_even(greatest(0, 100 - CASE WHEN single > 0.7 THEN 30 WHEN single > 0.5 THEN 15 ELSE 0 END - CASE WHEN distinct_values / least(triples, products) > 0.8 THEN 25 ELSE 0 END "
+    "- least(30, 300 * coalesce(missed, 0) / distinct_values) - least(20, 4 * coalesce(n_odd, 0)) - least(25, 100 * coalesce(dirty, 0) / distinct_values)), 0) AS INTEGER) AS score FROM b CROSS JOIN p LEFT JOIN m USING (relation) LEFT JOIN q USING (relation) LEFT JOIN o USING (relation))"
 )
+
+
+@query(f"WITH {_SCORED} SELECT * FROM scored")
+def audit_scores(spark, d):
+    products = table(spark, d, "kg_link").select(F.count_distinct(norm_id("product_id"))).first()[0]
+    return audit.scores(audit.relation_values(table(spark, d, "kg_triples")), products, _merges(spark, d))
+
+
+@query(f"WITH {_SCORED} SELECT round(sum(score * triples) / sum(triples), 6) AS score FROM scored")
+def audit_global_score(spark, d):
+    return audit.global_score(audit_scores(spark, d)).select(F.round("score", 6).alias("score"))
+
+
+_URL = r"""CASE WHEN url IS NULL OR NOT starts_with(url, 'http') THEN 'not http' WHEN starts_with(url, 'http://') THEN 'insecure'
+ WHEN NOT regexp_matches(url, '^https://[^/]+/i/[A-Za-z0-9]+(\._[A-Za-z0-9,]+_)?\.(jpg|jpeg|png)$') THEN 'unexpected form' WHEN NOT regexp_matches(url, '^https://img\d+\.shop\.example/') THEN 'unknown host' WHEN regexp_matches(url, '/i/Q[A-Z0-9]{7}[.]') THEN 'id as name' END"""
+
+
+@query(f"SELECT {_URL} AS reason, count(*) AS n_rows, count(DISTINCT product_id) AS n_products, min(url) AS example FROM kg_image GROUP BY reason HAVING reason IS NOT NULL")
 def url_diagnose(spark, d):
     return graph.url_faults(table(spark, d, "kg_image"))
 
 
+@query(
+    f"WITH i AS (SELECT coalesce(variant, '(none)') AS variant, {ID('product_id')} AS p, {_URL} IS NOT NULL AS faulty FROM kg_image), u AS (SELECT * FROM i UNION ALL SELECT '(all)', p, faulty FROM i), e AS (SELECT count(DISTINCT {ID('product_id')}) AS n FROM kg_link) "
+    "SELECT variant, count(*) AS n_rows, count(DISTINCT p) AS n_products, count(*) FILTER (faulty) AS n_faulty, round(100.0 * count(DISTINCT p) / any_value(e.n), 1) AS coverage FROM u CROSS JOIN e GROUP BY variant"
+)
+def image_form(spark, d):
+    tidy = lambda name: table(spark, d, name).withColumn("product_id", norm_id("product_id"))
+    return graph.image_form(tidy("kg_image"), tidy("kg_link"))
+
+
 @query("WITH x AS (SELECT category, count(*) AS n, count(*) FILTER (rating >= 4) AS hits FROM interactions WHERE category IS NOT NULL GROUP BY category), y AS (SELECT *, hits / n AS p, 1.959963984540054 AS z FROM x) SELECT category, round(greatest(0, ((p + z*z/(2*n)) - z * sqrt(p*(1-p)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) AS low, round(least(1, ((p + z*z/(2*n)) + z * sqrt(p*(1-p)/n + z*z/(4*n*n))) / (1 + z*z/n)), 6) AS high FROM y")
 def wilson_interval(spark, d):
     x = table(spark, d, "interactions").filter("category IS NOT NULL").groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") >= 4).alias("hits"))
