@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.common import materialize
+from loomgraph.common import discard, join_counted, materialize
 
 #: Members of the largest set that fall into one identifier range, about; so it bounds the length of a run.
 RUN_LENGTH = 32_768
@@ -17,6 +17,12 @@ RUN_LENGTH = 32_768
 GALLOP_RATIO = 16
 #: Partners of one set that are intersected in one group; a set with more is repeated for several groups.
 PARTNERS = 4_096
+#: A member of more sets than this is spread over several groups when candidates are sought.
+SETS_OF_MEMBER = 4_096
+#: Tables of up to so many (key, number) rows are broadcast, about 100 MB; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Share of a set that its prefix has beyond the shortest one; a candidate must share about so many of its members, not just one.
+BEYOND = 1 / 24
 
 
 def merge_count(a: np.ndarray, b: np.ndarray) -> int:
@@ -72,7 +78,12 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif key == at and (n := shared_count(members, run)):
                 for column, x in zip(out, (smaller[i], key[0], n), strict=True):
                     column.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names=["smaller", "larger", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["smaller", "larger", "n"])
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcasting if its rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def overlaps(members: DataFrame, min_size: int = 50, min_share: float = 0.5) -> DataFrame:
@@ -80,71 +91,84 @@ def overlaps(members: DataFrame, min_size: int = 50, min_share: float = 0.5) ->
     members are at least min_share (above 0) of the smaller set. set_a comes first by code point.
 
     members: set_id STRING, member STRING. Null sets and members don't count, repeats count once, other columns are
-    ignored. An empty table gives no rows. Members are compared by a 64-bit hash (a billion members: 3 % chance of one
+    ignored. An empty table gives no rows. Sets and members are compared by 64-bit hashes (a billion of them: 3 % chance of one
     collision, which would shift a count by one).
 
-    1. Sets below min_size go; so do members of a single set, they are shared with none.
-    2. Which pairs to intersect follows from a prefix bound that misses nothing: of a set of n members, of which the pair
-       must share s = ceil(min_share * n), those p that lie in the fewest sets are its prefix, and the partner
-       holds at least p + s - n of these. Members of many sets, which would make many pairs, are in few prefixes.
+    1. Sets below min_size go, those with fewer rows before anything is shuffled; so do members of a single set, shared with none.
+    2. Which pairs to intersect follows from a prefix bound that misses nothing: of a set of n members, of which the pair must share
+       s = ceil(min_share * n), take any p as its prefix; the partner holds at least p + s - n of these. The prefix is made of
+       the members that lie in the fewest sets, so those of many sets, which would make many pairs, are in few prefixes. It has n - s
+       members and BEYOND of the set more: fewer would find less, more would list more of each intersection than needed.
     3. The members of each set are sorted, delta-encoded runs, one per identifier range. For each pair and range the two runs
        are merged or, where their lengths differ much, searched exponentially; the counts are summed over the ranges.
     """
-    pairs = members.select("set_id", F.xxhash64("member").alias("m")).filter("set_id IS NOT NULL AND member IS NOT NULL").distinct()
-    sizes = pairs.groupBy("set_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size)
-    large = pairs.join(sizes, "set_id")
-    degree = large.groupBy("m").agg(F.count(F.lit(1)).alias("degree")).filter("degree > 1")
-    kept = materialize(large.join(degree, "m").select("set_id", "n", "m", "degree"), "audience")
+    rows = members.select("set_id", F.xxhash64("set_id").alias("s"), F.xxhash64("member").alias("m")).filter("set_id IS NOT NULL AND member IS NOT NULL")
+    names = materialize(rows.groupBy("s").agg(F.min("set_id").alias("set_id"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size).select("s", "set_id"), "set-names")
+    pairs = materialize(rows.join(_small(names).select("s"), "s", "left_semi").select("s", "m").distinct(), "memberships")
+    sizes = materialize(pairs.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size), "sizes")
+    large = pairs.join(_small(sizes), "s")
+    degree = materialize(large.groupBy("m").agg(F.count(F.lit(1)).cast("int").alias("degree")).filter("degree > 1"), "degrees")
+    kept = materialize(join_counted(large, degree, ["m"], "degree").select("s", "n", "m", "degree"), "audience")
+    discard(pairs)
 
     need = F.ceil(F.lit(min_share) * F.col("n"))  # what a pair must share
-    by_degree = kept.groupBy("set_id", "n", "degree").agg(F.count(F.lit(1)).alias("c"))
-    so_far = F.sum("c").over(Window.partitionBy("set_id").orderBy("degree"))
-    in_all = F.sum("c").over(Window.partitionBy("set_id"))
-    steps = by_degree.select("set_id", "n", "degree", (F.col("n") - in_all + so_far).alias("p"))
-    wanted = F.least(F.col("n"), F.col("n") - need + F.greatest(F.lit(1), F.ceil(F.col("n") / 8)))
-    prefix = (
-        steps.filter(F.col("p") >= wanted)
-        .groupBy("set_id")
-        .agg(F.min("degree").alias("cut"), F.min(F.col("p") + need - F.col("n")).alias("least"))
+    by_degree = kept.groupBy("s", "n", "degree").agg(F.count(F.lit(1)).alias("c"))
+    so_far = F.sum("c").over(Window.partitionBy("s").orderBy("degree"))
+    in_all = F.sum("c").over(Window.partitionBy("s"))
+    steps = by_degree.select("s", "n", "degree", "c", (F.col("n") - in_all).alias("alone"), (F.col("n") - in_all + so_far).alias("p"))
+    wanted = F.least(F.col("n"), F.col("n") - need + F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(BEYOND))))
+    # the last step is taken in part: a share of its members by hash
+    last = steps.filter(F.col("p") >= wanted).groupBy("s").agg(F.min_by(F.struct("degree", "alone", "p", ((wanted - F.col("p") + F.col("c")) / F.col("c")).alias("share")), "degree").alias("x"))
+    last = materialize(last.select("s", F.col("x.degree").alias("cut"), F.col("x.alone").alias("alone"), F.col("x.p").alias("p_all"), F.col("x.share").alias("share")), "cuts")
+    drawn = F.pmod(F.xxhash64("m", "s"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    front = materialize(kept.join(_small(last), "s").filter("degree <= cut").withColumn("in_part", (F.col("degree") < F.col("cut")) | drawn), "front")
+    part = front.groupBy("s", "n", "alone", "p_all").agg((F.count_if("in_part") + F.first("alone")).alias("p_part"))
+    taken = F.when(F.col("p_part") + need > F.col("n"), F.col("p_part")).otherwise(F.col("p_all"))
+    prefix = materialize(part.select("s", (taken + need - F.col("n")).alias("least"), (F.col("p_part") + need <= F.col("n")).alias("whole")), "prefixes")
+    salts = F.ceil(F.col("degree") / SETS_OF_MEMBER).cast("int")
+    small = front.join(_small(prefix), "s").filter("whole OR in_part").select(
+        F.col("s").alias("smaller"), F.col("n").alias("n_small"), "m", "least", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
     )
-    small = kept.join(prefix, "set_id").filter("degree <= cut").select(F.col("set_id").alias("smaller"), F.col("n").alias("n_small"), "m", "least")
-    other = kept.select(F.col("set_id").alias("larger"), F.col("n").alias("n_large"), "m")
+    other = kept.select(F.col("s").alias("larger"), F.col("n").alias("n_large"), "m", F.pmod(F.xxhash64("s"), salts).cast("int").alias("salt"))
     bigger = "n_large > n_small OR (n_large = n_small AND larger > smaller)"
     candidates = materialize(
-        small.join(other, "m").filter(bigger).groupBy("smaller", "larger", "n_small", "n_large", "least")
+        small.join(other, ["m", "salt"]).filter(bigger).groupBy("smaller", "larger", "n_small", "n_large", "least")
         .agg(F.count(F.lit(1)).alias("hits")).filter("hits >= least").drop("hits", "least"),
         "candidates",
     )
+    discard(front)
 
     # identifier ranges: the high bits of the hash
-    top = kept.agg(F.max("n").alias("n")).first().n or 0
+    top = sizes.agg(F.max("n").alias("n")).first().n or 0
     bits = max(0, int(np.ceil(np.log2(max(1, top) / RUN_LENGTH)))) if top else 0
     rng = F.shiftrightunsigned(F.col("m"), 64 - bits).cast("bigint") if bits else F.lit(0).cast("bigint")
-    in_pairs = candidates.select(F.explode(F.array("smaller", "larger")).alias("set_id")).distinct()
+    in_pairs = candidates.select(F.explode(F.array("smaller", "larger")).alias("s")).distinct()
     deltas = lambda a: F.transform(a, lambda x, i: F.when(i == 0, x).otherwise(x - F.get(a, i - 1)))
     runs = (
-        kept.join(in_pairs, "set_id", "left_semi").groupBy("set_id", rng.alias("rng")).agg(F.sort_array(F.collect_list("m")).alias("ms"))
-        .select("set_id", "rng", deltas(F.col("ms")).alias("run"))
+        kept.join(in_pairs, "s", "left_semi").groupBy("s", rng.alias("rng")).agg(F.sort_array(F.collect_list("m")).alias("ms"))
+        .select("s", "rng", deltas(F.col("ms")).alias("run"))
     )
     parts = candidates.groupBy("larger").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
     partners = (
         candidates.select("smaller", "larger").join(parts, "larger")
-        .join(runs, F.col("set_id") == F.col("smaller"))
+        .join(runs, F.col("s") == F.col("smaller"))
         .select("larger", "rng", F.pmod(F.xxhash64("smaller"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "smaller", "run")
     )
-    whole = parts.join(runs, F.col("set_id") == F.col("larger")).select(
-        "larger", "rng", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("string").alias("smaller"), "run"
+    whole = parts.join(runs, F.col("s") == F.col("larger")).select(
+        "larger", "rng", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("smaller"), "run"
     )
     counted = (
         whole.unionByName(partners).repartition("larger", "rng", "part").sortWithinPartitions("larger", "rng", "part", "kind")
-        .mapInArrow(_intersect, "smaller string, larger string, n bigint")
+        .mapInArrow(_intersect, "smaller bigint, larger bigint, n bigint")
         .groupBy("smaller", "larger").agg(F.sum("n").alias("n_shared"))
     )
-    first = F.col("smaller") < F.col("larger")
+    found = counted.join(candidates, ["smaller", "larger"]).filter(F.col("n_shared") >= F.ceil(F.lit(min_share) * F.col("n_small")))
+    called = lambda c: names.select(F.col("s").alias(c), F.col("set_id").alias(f"{c}_id"))
+    first = F.col("smaller_id") < F.col("larger_id")
     return (
-        counted.join(candidates, ["smaller", "larger"]).filter(F.col("n_shared") >= F.ceil(F.lit(min_share) * F.col("n_small")))
+        found.join(called("smaller"), "smaller").join(called("larger"), "larger")
         .select(
-            F.least("smaller", "larger").alias("set_a"), F.greatest("smaller", "larger").alias("set_b"),
+            F.least("smaller_id", "larger_id").alias("set_a"), F.greatest("smaller_id", "larger_id").alias("set_b"),
             F.when(first, F.col("n_small")).otherwise(F.col("n_large")).alias("n_a"),
             F.when(first, F.col("n_large")).otherwise(F.col("n_small")).alias("n_b"), "n_shared",
         )

@@ -34,6 +34,8 @@ def brute(rows, least, share):
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(overlap, "RUN_LENGTH", 16)  # many identifier ranges
     monkeypatch.setattr(overlap, "PARTNERS", 3)  # several groups of partners
+    monkeypatch.setattr(overlap, "SETS_OF_MEMBER", 2)  # members spread over several groups
+    monkeypatch.setattr(overlap, "BROADCAST_ROWS", 10)
     rng = random.Random(1)
     for share in (0.5, 0.2, 1.0):
         rows = []
