@@ -21,8 +21,10 @@ PARTNERS = 4_096
 SETS_OF_MEMBER = 4_096
 #: Tables of up to so many (key, number) rows are broadcast, about 100 MB; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Share of a set that its prefix has beyond the shortest one; a candidate must share about so many of its members, not just one.
-BEYOND = 1 / 24
+#: Members of a set, at least and as a share, that its prefix has beyond the shortest one: a candidate must share so many of it, not just one.
+LEAST_HITS, BEYOND = 6, 1 / 16
+#: Parts of the members of one degree.
+LEVELS = 64
 
 
 def merge_count(a: np.ndarray, b: np.ndarray) -> int:
@@ -112,21 +114,17 @@ def overlaps(members: DataFrame, min_size: int = 50, min_share: float = 0.5) ->
     discard(pairs)
 
     need = F.ceil(F.lit(min_share) * F.col("n"))  # what a pair must share
-    by_degree = kept.groupBy("s", "n", "degree").agg(F.count(F.lit(1)).alias("c"))
-    so_far = F.sum("c").over(Window.partitionBy("s").orderBy("degree"))
+    # rarest first; members of one degree in LEVELS parts by hash, so that a prefix ends within a degree
+    level = F.col("degree") * F.lit(LEVELS).cast("bigint") + F.pmod(F.xxhash64("m", "s"), F.lit(LEVELS))
+    by_level = kept.groupBy("s", "n", level.alias("level")).agg(F.count(F.lit(1)).alias("c"))
+    so_far = F.sum("c").over(Window.partitionBy("s").orderBy("level"))
     in_all = F.sum("c").over(Window.partitionBy("s"))
-    steps = by_degree.select("s", "n", "degree", "c", (F.col("n") - in_all).alias("alone"), (F.col("n") - in_all + so_far).alias("p"))
-    wanted = F.least(F.col("n"), F.col("n") - need + F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(BEYOND))))
-    # the last step is taken in part: a share of its members by hash
-    last = steps.filter(F.col("p") >= wanted).groupBy("s").agg(F.min_by(F.struct("degree", "alone", "p", ((wanted - F.col("p") + F.col("c")) / F.col("c")).alias("share")), "degree").alias("x"))
-    last = materialize(last.select("s", F.col("x.degree").alias("cut"), F.col("x.alone").alias("alone"), F.col("x.p").alias("p_all"), F.col("x.share").alias("share")), "cuts")
-    drawn = F.pmod(F.xxhash64("m", "s"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
-    front = materialize(kept.join(_small(last), "s").filter("degree <= cut").withColumn("in_part", (F.col("degree") < F.col("cut")) | drawn), "front")
-    part = front.groupBy("s", "n", "alone", "p_all").agg((F.count_if("in_part") + F.first("alone")).alias("p_part"))
-    taken = F.when(F.col("p_part") + need > F.col("n"), F.col("p_part")).otherwise(F.col("p_all"))
-    prefix = materialize(part.select("s", (taken + need - F.col("n")).alias("least"), (F.col("p_part") + need <= F.col("n")).alias("whole")), "prefixes")
+    steps = by_level.select("s", "n", "level", (F.col("n") - in_all + so_far).alias("p"))
+    wanted = F.least(F.col("n"), F.col("n") - need + F.greatest(F.lit(LEAST_HITS), F.ceil(F.col("n") * F.lit(BEYOND))))
+    prefix = steps.filter(F.col("p") >= wanted).groupBy("s").agg(F.min("level").alias("cut"), F.min(F.col("p") + need - F.col("n")).alias("least"))
+    prefix = materialize(prefix, "prefixes")
     salts = F.ceil(F.col("degree") / SETS_OF_MEMBER).cast("int")
-    small = front.join(_small(prefix), "s").filter("whole OR in_part").select(
+    small = kept.join(_small(prefix), "s").filter(level <= F.col("cut")).select(
         F.col("s").alias("smaller"), F.col("n").alias("n_small"), "m", "least", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
     )
     other = kept.select(F.col("s").alias("larger"), F.col("n").alias("n_large"), "m", F.pmod(F.xxhash64("s"), salts).cast("int").alias("salt"))
@@ -136,7 +134,6 @@ def overlaps(members: DataFrame, min_size: int = 50, min_share: float = 0.5) ->
         .agg(F.count(F.lit(1)).alias("hits")).filter("hits >= least").drop("hits", "least"),
         "candidates",
     )
-    discard(front)
 
     # identifier ranges: the high bits of the hash
     top = sizes.agg(F.max("n").alias("n")).first().n or 0
