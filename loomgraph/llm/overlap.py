@@ -105,7 +105,7 @@ def overlaps(members: DataFrame, min_size: int = 50, min_share: float = 0.5) ->
        are merged or, where their lengths differ much, searched exponentially; the counts are summed over the ranges.
     """
     rows = members.select("set_id", F.xxhash64("set_id").alias("s"), F.xxhash64("member").alias("m")).filter("set_id IS NOT NULL AND member IS NOT NULL")
-    names = materialize(rows.groupBy("s").agg(F.min("set_id").alias("set_id"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size).select("s", "set_id"), "set-names")
+    names = materialize(rows.groupBy("s", "set_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size).select("s", "set_id"), "set-names")
     pairs = materialize(rows.join(_small(names).select("s"), "s", "left_semi").select("s", "m").distinct(), "memberships")
     sizes = materialize(pairs.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_size), "sizes")
     large = pairs.join(_small(sizes), "s")
