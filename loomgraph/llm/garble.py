@@ -19,8 +19,11 @@ READ_AS = ("cp1252", "latin-1", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "
 WRITTEN_IN = ("utf-8", "cp1251", "koi8-r", "cp1250", "iso8859-2")
 #: A transformation is learned from this many different pairs of a garbled and a clean string.
 LEAST_PAIRS = 2
-#: Readings of one text that were made one after the other.
-ROUNDS = 3
+#: A mapping of characters that no reading of the catalogue explains is learned from this many words with a twin, if it is what their strings
+#: turn into in this share of the words they are in.
+LEAST_WORDS, SURE = 4, 0.9
+#: Mappings, at least, that must agree on one unknown code page, and the characters of such pages (letters, signs, box drawing; no kana or emoji).
+LEAST_MAPPINGS, LAST_OF_PAGES = 3, 0x25FF
 
 _ASCII_WORD = re.compile(r"[^ \t\r\n]+")
 _FOREIGN = re.compile(r"[^\x00-\x7f]+")
@@ -40,6 +43,22 @@ def alphabet(codec: str) -> list[str]:
     return out
 
 
+def _class(chars: list[str]) -> str:
+    """A character class of those beyond ASCII."""
+    return "[" + "".join(re.escape(c) for c in chars if ord(c) > 127) + "]"
+
+
+def _ranges(chars: set[str], gap: int = 16) -> str:
+    """A character class of the JVM that holds all of the characters beyond ASCII, in few ranges, as it tests them one by one."""
+    out: list[list[int]] = []
+    for o in sorted(ord(c) for c in chars if ord(c) > 127):
+        if out and o - out[-1][1] <= gap:
+            out[-1][1] = o
+        else:
+            out.append([o, o])
+    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in out) + "]"
+
+
 class Reader:
     """Text written in one encoding and read in another."""
 
@@ -50,13 +69,12 @@ class Reader:
         self.to_byte = {c: b for b, c in reversed(list(enumerate(chars)))}
         self.chars = chars
         if written_in == "utf-8":
-            of = lambda lo, hi: "[" + "".join(re.escape(chars[b]) for b in range(lo, hi + 1) if ord(chars[b]) > 127) + "]"
+            of = lambda lo, hi: _class(chars[lo : hi + 1])
             cont = of(0x80, 0xBF)
             self.pattern = re.compile(f"{of(0xC2, 0xDF)}{cont}|{of(0xE0, 0xEF)}{cont}{cont}|{of(0xF0, 0xF4)}{cont}{cont}{cont}")
             self.gate = re.compile(of(0xC2, 0xF4) + cont)
         else:
             self.pattern = None
-            self.high = {c for b, c in enumerate(chars) if b > 127}
 
     def garble(self, clean: str) -> str | None:
         try:
@@ -170,6 +188,8 @@ def occurrences(text: str) -> Iterator[tuple[int, str, int, int]]:
             continue
         start = text.index(w, end)
         end = start + len(w)
+        if not any(c.isalnum() for j in (i - 1, i, i + 1) for c in at(j)):
+            continue  # nothing is left that a twin could be known by
         strings = "\x1f".join(_FOREIGN.findall(w))
         yield _hash(f"{at(i - 1)}\x1e{at(i)}\x1e{at(i + 1)}"), strings, start, end
         if sum(map(str.isalpha, at(i))) >= 3:
@@ -185,19 +205,44 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         for text in b.column(0).to_pylist():
             for key, strings, _, _ in occurrences(text):
-                if len(strings) <= 400:  # of a longer word without blanks no twin could be aligned by its ends; it is restored like the rest
-                    n[key, strings] += 1
+                n[key, strings] += 1
         keys, values = [k for k, _ in n], [v for _, v in n]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values, pa.string()), pa.array(list(n.values()), pa.int64())], names=["key", "strings", "n"])
 
 
+def aligned(g: str, c: str) -> tuple[str, str] | None:
+    """What differs between a garbled string and its twin once their common ends are off, if it may be a character whose bytes in UTF-8 were
+    read one by one."""
+    start = 0
+    while start < len(c) and g[start] == c[start]:
+        start += 1
+    end = 0
+    while end < len(c) - start and g[-1 - end] == c[-1 - end]:
+        end += 1
+    x, y = g[start : len(g) - end], c[start : len(c) - end]
+    return (x, y) if len(y) == 1 and len(x) == len(y.encode()) and max(map(ord, x)) <= LAST_OF_PAGES and plausible(y) else None
+
+
+def code_page(told: dict[str, tuple[str, int]]) -> dict[str, str]:
+    """The mappings (garbled string to character, with its number of words) that agree on what character each byte was read as."""
+    votes: dict[int, Counter] = {}
+    for g, (c, n) in told.items():
+        for byte, sign in zip(c.encode(), g, strict=True):
+            votes.setdefault(byte, Counter())[sign] += n
+    page = {b: v.most_common(1)[0][0] for b, v in votes.items() if v.most_common(1)[0][1] >= SURE * v.total()}
+    used = Counter(page.values())
+    agreed = {g: c for g, (c, _) in told.items() if all(page.get(b) == sign and used[sign] == 1 for b, sign in zip(c.encode(), g, strict=True))}
+    return agreed if len(agreed) >= LEAST_MAPPINGS else {}
+
+
 def _explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(garbled, clean, transformations) of every aligned pair of strings that a reading explains; several are joined by commas."""
+    """(garbled, clean, why) of every aligned pair of strings: why names the readings that explain it, joined by commas, or tells the mapping
+    of characters that would, in which case garbled is the key of the word."""
     every = readers()
     memo: dict[tuple[str, str], str] = {}
     for b in batches:
         out: dict[tuple[str, str], str] = {}
-        for bad, good in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for key, bad, good in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
             x, y = bad.split("\x1f"), good.split("\x1f")
             if len(x) != len(y):
                 continue  # not aligned one to one
@@ -206,8 +251,13 @@ def _explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 if (why := memo.get((g, c))) is None:
                     why = "lost" if _LOST in g and _LOST not in c else ",".join(r.name for r in every if r.garble(c) == g)
-                    memo[g, c] = why
-                if why:
+                    if not why and len(g) > len(c) and (piece := aligned(g, c)):
+                        why = "\x1f".join(("map", *piece))
+                    if len(memo) < 200_000:  # memory only
+                        memo[g, c] = why
+                if why.startswith("map\x1f"):
+                    out[str(key), why] = why
+                elif why:
                     out[g, c] = why
         names = [[g for g, _ in out], [c for _, c in out], list(out.values())]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in names], names=["garbled", "clean", "why"])
@@ -225,15 +275,22 @@ def references(seen: DataFrame) -> DataFrame:
     return clean.groupBy("key").agg(F.max_by("strings", F.struct("n", "strings")).alias("reference"))
 
 
-def learn(seen: DataFrame) -> dict[str, int]:
-    """The readings that explain how clean twins turned into garbled ones, with the number of different pairs of strings that
-    each explains and those before it don't: many readings agree on some characters, so the one that explains most comes first.
+def learn(seen: DataFrame) -> tuple[dict[str, int], dict[str, str]]:
+    """(readings, mappings). The readings that explain how clean twins turned into garbled ones, with the number of different pairs of strings
+    that each explains and those before it don't: many readings agree on some characters, so the one that explains most comes first.
+    The mappings, garbled characters to clean ones, are inferred from aligned pairs that no reading of the catalogue explains.
 
-    Only the numbers of pairs per set of readings reach the driver; the catalogue of readings bounds them.
+    Only the numbers of pairs per set of readings reach the driver, which the catalogue bounds, and mappings of single characters.
     """
-    pairs = seen.join(references(seen), "key").filter(F.col("strings") != F.col("reference")).select("strings", "reference").distinct()
-    explained = pairs.mapInArrow(_explain, "garbled string, clean string, why string").distinct()
-    sets = {frozenset(r.why.split(",")): r.n for r in explained.groupBy("why").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pairs = seen.join(references(seen), "key").filter(F.col("strings") != F.col("reference")).select("key", "strings", "reference").distinct()
+    explained = materialize(pairs.mapInArrow(_explain, "garbled string, clean string, why string").distinct(), "explained")
+    counted = explained.groupBy("why").agg(F.count(F.lit(1)).alias("n"))
+    mapped = F.startswith(F.col("why"), F.lit("map\x1f"))
+    part = F.split("why", "\x1f")
+    told = counted.filter(mapped).select(part[1].alias("garbled"), part[2].alias("clean"), "n").groupBy("garbled").agg(F.max_by("clean", "n").alias("clean"), F.max("n").alias("n"), F.sum("n").alias("all"))
+    sure = told.filter((F.col("n") >= LEAST_WORDS) & (F.col("n") >= SURE * F.col("all")))
+    mappings = code_page({r.garbled: (r.clean, r.n) for r in sure.collect()})  # single characters
+    sets = {frozenset(r.why.split(",")): r.n for r in counted.filter(~mapped).collect()}
     order = {r.name: -i for i, r in enumerate(readers())} | {"lost": 1}
     chosen: dict[str, int] = {}
     while sets:
@@ -246,12 +303,31 @@ def learn(seen: DataFrame) -> dict[str, int]:
             break
         chosen[best] = votes[best]
         sets = {names: n for names, n in sets.items() if best not in names}
-    return chosen
+    return chosen, mappings
+
+
+def gate(names: list[str], mappings: dict[str, str]) -> str:
+    """Regular expression of the JVM that finds every text a Restorer may change or report (and some more): lost and control characters, and
+    what readings start at."""
+    known = readers(names)
+    utf = [r for r in known if r.pattern]
+    parts = ["[\\x{80}-\\x{84}\\x{86}-\\x{9f}\\x{fffd}]"]
+    if utf or mappings:
+        lead = {c for r in utf for c in r.chars[0xC2:0xF5]} | {g[0] for g in mappings}
+        parts.append(_ranges(lead) + _ranges({c for r in utf for c in r.chars[0x80:0xC0]} | {g[1] for g in mappings}))
+    if len(utf) < len(known):
+        parts.append("[\\x{a5}-\\x{ffff}]{3}")
+    return "|".join(parts)
 
 
 class Restorer:
-    def __init__(self, names: list[str]):
+    def __init__(self, names: list[str], mappings: dict[str, str] | None = None):
         every = readers(names)
+        self.mappings = mappings or {}
+        piece = "|".join(map(re.escape, sorted(self.mappings, key=len, reverse=True)))
+        # no letters beyond ASCII but mapped ones stand beside them, so that words of another alphabet stay
+        self.mapped = re.compile(rf"(?<![^\W\d_a-zA-Z])(?:{piece})+(?![^\W\d_a-zA-Z])") if piece else None
+        self.piece = re.compile(piece) if piece else None
         self.bytewise = [r for r in every if r.pattern is None]
         self.readers = [r for r in every if r.pattern is not None]
         latin = ("utf-8>latin-1", "utf-8>iso8859-15")
@@ -277,12 +353,14 @@ class Restorer:
         order = self.latin_first if latin else self.readers
         for r in self.bytewise:
             out = r.restore(out)
-        for _ in range(ROUNDS):
+        while True:  # each round that changes anything makes the text shorter
             before = out
             out = _FOREIGN.sub(lambda m: self.whole(m[0], latin), out)
             if self.gate and self.gate.search(out):
                 for r in order:
                     out = r.restore(out)
+            if self.mapped:
+                out = self.mapped.sub(lambda m: self.piece.sub(lambda x: self.mappings[x[0]], m[0]), out)
             if out == before:
                 break
         return out, out != text or _LOST in text or _CONTROL.search(out) is not None
@@ -324,8 +402,9 @@ def garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", fill_
        with the same ASCII letters, digits aside. Of the spellings of such a group the commonest one without lost or control
        characters is the clean twin.
     2. The non-ASCII strings of a word and its twin are aligned one to one; a reading of the catalogue that turns the clean string
-       into the garbled one is learned if different pairs show it.
-    3. The learned readings are applied to all text, however long, repeatedly (text read wrongly twice), wherever the
+       into the garbled one is learned if different pairs show it. What no reading explains is aligned by characters: strings that
+       stand for one character in nearly all words with a twin, and agree on an unknown code page, become mappings of their own.
+    3. What was learned is applied to all text, however long, until nothing changes (text read wrongly several times), wherever the
        result is plausible; so words without a twin, and scripts without ASCII letters, are restored too.
     4. Characters that were lost (U+FFFD) are filled from the twin of the word, where there is one. Control characters
        (C1) and lost ones that stay mark the document as garbled all the same.
@@ -334,12 +413,13 @@ def garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", fill_
     documents teach little: without twins only lost and control characters are found. An empty table gives no rows.
     """
     seen = variants(documents, text)
-    names = list(learn(seen))
+    learned, mappings = learn(seen)
+    names = list(learned)
     schema = T.StructType([documents.schema[key], T.StructField(text, T.StringType()), T.StructField("restored", T.StringType())])
     out_names = [key, text, "restored"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(names)
+        restorer = Restorer(names, mappings)
         for b in batches:
             take, restored = [], []
             for i, s in enumerate(b.column(1).to_pylist()):
@@ -350,7 +430,7 @@ def garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", fill_
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(restored, pa.string())], names=out_names)
 
-    bad = documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]")).mapInArrow(run, schema)
+    bad = documents.select(key, text).filter(F.col(text).rlike(gate(names, mappings))).mapInArrow(run, schema)
     return _filled(bad, references(seen), key, text) if fill_lost else bad
 
 

@@ -98,7 +98,7 @@ def test_learns_from_twins(spark):
     bad = [(100 + i, misread(lines[i % 5].format(i), "cp1252"), "en") for i in range(5)] + [(200, "gr��ere Taschen", "en"), (201, "f�r größere Küchen gut", "en"), (202, "weiß", "en"), (203, None, "en"), (204, "", "en"), (205, "ascii", "en")]
     bad += [(206, misread("niemals zuvor gesehene Wörter äöüß", "cp1252"), "en")]
     df = spark.createDataFrame(rows + bad, "doc_id bigint, text string, restored string")
-    assert set(garble.learn(garble.variants(df))) >= {"utf-8>cp1252"}
+    assert set(garble.learn(garble.variants(df))[0]) >= {"utf-8>cp1252"}
     got = {r.doc_id: r.restored for r in garble.garbled(df).collect()}
     assert set(got) == {100, 101, 102, 103, 104, 200, 201, 206}
     assert got[100] == lines[0].format(0) and got[201] == "für größere Küchen gut" and got[206] == "niemals zuvor gesehene Wörter äöüß"
@@ -129,3 +129,25 @@ def test_long_spans_and_private_signs():
         words = "x" * n
         assert cleaned(f"**{words}**") == words and cleaned(f"[[{words}]]") == words and "wiki" in markup.Labeller().label("{{" + words + "|a}}")
     assert cleaned(" **a** \U000f0023 b*c") == " a \U000f0023 b*c"
+
+
+def test_a_code_page_outside_the_catalogue_is_inferred(spark):
+    words = ["schöne", "größe", "müde", "käse", "brüder", "mögen", "bäume", "süße", "fließen", "höhe", "späte", "grüße", "weiß", "kühl", "stärke", "löffel"]
+    clean = [f"the {w} kettle {i}" for i in range(3) for w in words]
+    read = lambda s: s.encode().decode("iso8859-5")
+    docs = clean + [read(s) for s in clean[: len(words)]] + [read("ganz ohne Zwilling: Blödsinn"), "軽い 水筒 one", "丈夫な 水筒 two", "the УЖЕ kettle 1"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    readings, mappings = garble.learn(garble.variants(df))
+    assert mappings == {read(c): c for c in "öüäß"}
+    got = {r.doc_id: r.restored for r in garble.garbled(df).collect()}
+    n = len(clean)
+    assert got == {n + i: s for i, s in enumerate(clean[: len(words)])} | {n + len(words): "ganz ohne Zwilling: Blödsinn"}
+
+
+def test_words_of_any_length_and_readings_of_any_depth(spark):
+    deep = "é"
+    for _ in range(5):
+        deep = deep.encode().decode("cp1252")
+    assert garble.Restorer(["utf-8>cp1252"]).restore(f"caf{deep}") == ("café", True)
+    long = "á" * 500
+    assert [s for _, s, _, _ in garble.occurrences(f"one x{long} two")] == [long] and not list(garble.occurrences("水筒 丈夫 水筒"))
