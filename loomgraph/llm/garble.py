@@ -30,6 +30,9 @@ _FOREIGN = re.compile(r"[^\x00-\x7f]+")
 _DIGITS = re.compile(r"\d+")
 _CONTROL = re.compile("[\x80-\x84\x86-\x9f]")  # U+0085 is a line end
 _LOST = "�"
+#: What every text has that a Restorer may change or report, for the JVM: readings make two characters or more of one. The test is a
+#: plain one, as classes of the readings' own characters cost the JVM more than they spare Python.
+GATE = r"[^\x00-\x7f]{2}|[\x{80}-\x{9f}\x{fffd}]"
 
 
 def alphabet(codec: str) -> list[str]:
@@ -48,17 +51,6 @@ def _class(chars: list[str]) -> str:
     return "[" + "".join(re.escape(c) for c in chars if ord(c) > 127) + "]"
 
 
-def _ranges(chars: set[str], gap: int = 16) -> str:
-    """A character class of the JVM that holds all of the characters beyond ASCII, in few ranges, as it tests them one by one."""
-    out: list[list[int]] = []
-    for o in sorted(ord(c) for c in chars if ord(c) > 127):
-        if out and o - out[-1][1] <= gap:
-            out[-1][1] = o
-        else:
-            out.append([o, o])
-    return "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in out) + "]"
-
-
 class Reader:
     """Text written in one encoding and read in another."""
 
@@ -306,20 +298,6 @@ def learn(seen: DataFrame) -> tuple[dict[str, int], dict[str, str]]:
     return chosen, mappings
 
 
-def gate(names: list[str], mappings: dict[str, str]) -> str:
-    """Regular expression of the JVM that finds every text a Restorer may change or report (and some more): lost and control characters, and
-    what readings start at."""
-    known = readers(names)
-    utf = [r for r in known if r.pattern]
-    parts = ["[\\x{80}-\\x{84}\\x{86}-\\x{9f}\\x{fffd}]"]
-    if utf or mappings:
-        lead = {c for r in utf for c in r.chars[0xC2:0xF5]} | {g[0] for g in mappings}
-        parts.append(_ranges(lead) + _ranges({c for r in utf for c in r.chars[0x80:0xC0]} | {g[1] for g in mappings}))
-    if len(utf) < len(known):
-        parts.append("[\\x{a5}-\\x{ffff}]{3}")
-    return "|".join(parts)
-
-
 class Restorer:
     def __init__(self, names: list[str], mappings: dict[str, str] | None = None):
         every = readers(names)
@@ -430,7 +408,7 @@ def garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", fill_
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(restored, pa.string())], names=out_names)
 
-    bad = documents.select(key, text).filter(F.col(text).rlike(gate(names, mappings))).mapInArrow(run, schema)
+    bad = documents.select(key, text).filter(F.col(text).rlike(GATE)).mapInArrow(run, schema)
     return _filled(bad, references(seen), key, text) if fill_lost else bad
 
 

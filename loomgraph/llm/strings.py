@@ -69,14 +69,23 @@ def lcs_ratio(a: str, b: str) -> float:
 
 
 class DeletionIndex:
-    """Words by what remains of them after up to ``depth`` deletions: finds all words within ``depth`` edits without scanning."""
+    """Words by what remains of them after up to ``depth`` deletions: finds all words within ``depth`` edits without scanning.
+
+    What remains of a word grows with a power of its length, so words of more than LONG letters are compared with the index words of
+    about their length instead, with the same result.
+    """
+
+    LONG = 40
 
     def __init__(self, words, depth: int = 2):
         self.depth = depth
         self.by: dict[str, set[str]] = {}
-        for w in words:
-            for v in self.variants(w):
-                self.by.setdefault(v, set()).add(w)
+        self.by_length: dict[int, list[str]] = {}
+        for w in set(words):
+            self.by_length.setdefault(len(w), []).append(w)
+            if len(w) <= self.LONG + depth:
+                for v in self.variants(w):
+                    self.by.setdefault(v, set()).add(w)
 
     def variants(self, w: str) -> set[str]:
         out = level = {w}
@@ -87,7 +96,8 @@ class DeletionIndex:
 
     def near(self, w: str) -> dict[str, int]:
         """Words of the index within depth edits of w, with their distance."""
-        if len(w) > 40:
-            return {w: 0} if w in self.by.get(w, ()) else {}
-        found = set().union(*(self.by.get(v, ()) for v in self.variants(w)))
+        if len(w) > self.LONG:
+            found = {x for n in range(len(w) - self.depth, len(w) + self.depth + 1) for x in self.by_length.get(n, ())}
+        else:
+            found = set().union(*(self.by.get(v, ()) for v in self.variants(w)))
         return {x: d for x in found if (d := edits(w, x, self.depth)) <= self.depth}

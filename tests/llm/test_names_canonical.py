@@ -41,6 +41,14 @@ def test_deletion_index_finds_all():
         assert index.near(w) == {x: d for x in words if (d := edits(w, x, 2)) <= 2}
 
 
+def test_deletion_index_knows_long_words():
+    long = "pneumono" * 8
+    for n in (40, 41, 42, 60):
+        index = DeletionIndex([long[:n], "short", long[: n - 2] + "x"])
+        assert index.near(long[:n])[long[:n]] == 0 and index.near("z" + long[: n - 1])[long[:n]] == 2 and index.near(long[: n - 1])[long[:n]] == 1
+    assert canonical.mappers([(7, "c", "Interdenominational Counterrevolutionary Gold")], [])["c"].find("Interdenominational Counterrevolutonary Gold") == 7
+
+
 def groups(spark, values, people=("p",)):
     got = names.name_groups(spark.createDataFrame([(r, v, 1) for r, v in values], "relation string, value string, extra int"), list(people))
     by = {}
