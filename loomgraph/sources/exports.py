@@ -71,10 +71,14 @@ def ntriples(kg: DataFrame, link: DataFrame, text: DataFrame, image: DataFrame,
     return out
 
 
-def recommender_files(inter: DataFrame, kg: DataFrame, path: str) -> None:
-    """Folders .inter and its splits, .kg and .link with typed headers, tab-separated; triples of the items that have interactions."""
+def recommender_files(inter: DataFrame, kg: DataFrame, path: str, one_file: bool = False) -> None:
+    """Folders inter and its splits, kg and link with typed headers, tab-separated; triples of the items that have interactions.
+
+    Interactions are sorted by user, time and item; the parts of a folder follow each other in this order, each with a header. one_file makes
+    one part of each, in one task, for tables that fit a single machine.
+    """
     typed = {"user": "user_id:token", "item": "item_id:token", "rating": "rating:float", "ts": "timestamp:float"}
-    write = lambda df, name: df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/{name}")
+    write = lambda df, name: (df.coalesce(1) if one_file else df).write.mode("overwrite").option("sep", "\t").option("header", True).csv(f"{path}/{name}")
     rows = inter.orderBy("user", "ts", "item").select(*[F.col(c).alias(t) for c, t in typed.items()], *(["split"] if "split" in inter.columns else []))
     write(rows.drop("split"), "inter")
     for s in ("train", "valid", "test") if "split" in inter.columns else ():
@@ -84,9 +88,15 @@ def recommender_files(inter: DataFrame, kg: DataFrame, path: str) -> None:
     write(items.select(F.col("product_id").alias("item_id:token"), F.col("product_id").alias("entity_id:token")), "link")
 
 
+#: Rows of a report, at most.
+REPORT_ROWS = 100_000
+
+
 def write_report(df: DataFrame, path: str) -> None:
-    """A small table (a row per relation or category) as a JSON file beside the data."""
-    rows = [r.asDict() for r in df.limit(100_000).collect()]
+    """A small table (a row per relation or category) as a JSON file beside the data. A table of more than REPORT_ROWS rows is no report: ValueError."""
+    rows = [r.asDict(recursive=True) for r in df.take(REPORT_ROWS + 1)]
+    if len(rows) > REPORT_ROWS:
+        raise ValueError(f"a report of more than {REPORT_ROWS} rows; write the table with Spark")
     with open(path, "w", encoding="utf-8") as f:
         json.dump(rows, f, ensure_ascii=False, indent=1, default=str)
 
