@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.common import materialize
@@ -28,9 +28,10 @@ def _evidence(name: str, params: dict) -> bool:
     return name == "split_smart" and params.get("mode", "evidence") == "evidence"
 
 
-def raw_values(products: DataFrame, r: RelationPlan) -> DataFrame:
-    """pid, ord, vals: the values a relation starts from. products: pid, ord, flat."""
-    return products.select(*ROW, from_sources(F.col("flat"), r.sources, r.first_source_only).alias("vals")).filter(F.size("vals") > 0)
+def raw_values(products: DataFrame, relations: list[RelationPlan]) -> DataFrame:
+    """pid, ord, of (the relation), vals: the values that each relation starts from, in one pass over the products. products: pid, ord, flat."""
+    found = [F.struct(F.lit(r.name).alias("of"), from_sources(F.col("flat"), r.sources, r.first_source_only).alias("vals")) for r in relations]
+    return products.select(*ROW, F.explode(F.array(*found)).alias("r")).select(*ROW, "r.of", "r.vals").filter(F.size("vals") > 0)
 
 
 def strong_parts(col: Column, params: dict) -> Column:
@@ -249,8 +250,10 @@ def between_relations(triples: DataFrame, plan: Plan) -> DataFrame:
 
 def unique_triples(triples: DataFrame) -> DataFrame:
     """The first triple of each product, relation and comparison key."""
-    first = F.row_number().over(Window.partitionBy("pid", "relation", match_key(F.col("value"))).orderBy("at", "value"))
-    return triples.withColumn("_n", first).filter("_n = 1").drop("_n")
+    rest = [c for c in triples.columns if c not in ("pid", "relation")]
+    one = F.min_by(F.struct(*rest), F.struct("at", "value")).alias("one")  # partial minima: a product of many repeats costs a row a task
+    firsts = triples.groupBy("pid", "relation", match_key(F.col("value")).alias("k")).agg(one)
+    return firsts.select("pid", "relation", *[F.col(f"one.{c}").alias(c) for c in rest]).select(*triples.columns)
 
 
 def homonyms(products: DataFrame) -> DataFrame:
@@ -284,7 +287,7 @@ def build(products: DataFrame, plan: Plan, single_pass: bool = False) -> Graph:
     """
     products = materialize(products.filter("pid IS NOT NULL AND pid <> ''"), "flat")  # every relation reads it
     known = None
-    every_value = materialize(reduce(DataFrame.unionByName, [raw_values(products, r).withColumn("of", F.lit(r.name)) for r in plan.relations]), "raw", ["of"])
+    every_value = materialize(raw_values(products, plan.relations), "raw", ["of"])
     groups: dict[str, list[RelationPlan]] = {}
     for r in plan.relations:
         groups.setdefault(repr(r.pre_ops), []).append(r)
