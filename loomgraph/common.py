@@ -52,6 +52,11 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_dir(spark)}/loomgraph-{label}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)

@@ -12,6 +12,17 @@ def trimodal(link: DataFrame, text: DataFrame, image: DataFrame) -> DataFrame:
     return link.join(ids(text), "product_id", "left_semi").join(ids(image), "product_id", "left_semi")
 
 
+def retention(kg: DataFrame, link: DataFrame, text: DataFrame, image: DataFrame) -> DataFrame:
+    """One row: before (products of link), with_text, with_image, after (with both), retention. Each by product_id."""
+    own = link.filter("product_id IS NOT NULL").select("product_id").distinct()
+    mark = lambda t, name: t.filter("product_id IS NOT NULL").select("product_id").distinct().withColumn(name, F.lit(1))
+    j = own.join(mark(text, "t"), "product_id", "left").join(mark(image, "i"), "product_id", "left").join(mark(kg, "k"), "product_id", "left")
+    both = F.col("t").isNotNull() & F.col("i").isNotNull()
+    return j.agg(
+        F.count(F.lit(1)).alias("before"), F.count("t").alias("with_text"), F.count("i").alias("with_image"), F.count_if(both).alias("after"), F.count_if(both & F.col("k").isNotNull()).alias("after_with_triples"),
+    ).withColumn("retention", F.round(F.col("after") / F.greatest(F.col("before"), F.lit(1)), 4))
+
+
 def kept_triples(kg: DataFrame, link: DataFrame) -> DataFrame:
     """Triples of the products in link; both by product_id."""
     return kg.join(link.select("product_id").distinct(), "product_id", "left_semi")

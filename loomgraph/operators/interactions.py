@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomgraph.common import discard, materialize
+from loomgraph.common import discard, exists, materialize
 
 #: Times above this are in milliseconds.
 MILLISECONDS = 10**11
@@ -115,3 +118,30 @@ def density(inter: DataFrame) -> DataFrame:
     """users, items, interactions, density: one row."""
     n = inter.agg(F.count_distinct("user").alias("users"), F.count_distinct("item").alias("items"), F.count(F.lit(1)).alias("interactions"))
     return n.withColumn("density", F.col("interactions") / (F.col("users") * F.col("items")))
+
+
+def overlap_summary(pairs: DataFrame, least: float = 0.01) -> DataFrame:
+    """One row: pairs, pairs_from (with a Jaccard index of least or more), and the pair with the greatest (category_a, category_b, jaccard, shared)."""
+    top = F.max_by(F.struct("category_a", "category_b", "jaccard", "shared"), F.struct("jaccard", "shared", "category_a", "category_b"))
+    return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("jaccard") >= least).alias("pairs_from"), top.alias("t")).select("pairs", "pairs_from", "t.*")
+
+
+def per_item(inter: DataFrame, kg: DataFrame) -> DataFrame:
+    """One row: items, interactions_per_item, kg_triples, kg_relations, kg_triples_per_item, of the items that have interactions. kg: product_id, relation."""
+    items = inter.select(F.col("item").alias("product_id")).distinct()
+    of = inter.agg(F.count_distinct("item").alias("items"), F.count(F.lit(1)).alias("interactions"))
+    own = kg.join(items, "product_id", "left_semi").agg(F.count(F.lit(1)).alias("kg_triples"), F.count_distinct("relation").alias("kg_relations"))
+    ratio = lambda c: F.round(F.col(c) / F.greatest(F.col("items"), F.lit(1)), 2)
+    return of.crossJoin(F.broadcast(own)).select("items", ratio("interactions").alias("interactions_per_item"), "kg_triples", "kg_relations", ratio("kg_triples").alias("kg_triples_per_item"))  # one row each
+
+
+def users_per_category(spark: SparkSession, categories: dict[str, tuple[str, DataFrame]], folder: str) -> DataFrame:
+    """category, user, n from interactions of each category, counted once per signature: categories holds (signature, interactions), and counts are
+    kept below folder by category and signature, where later calls find them."""
+    out = []
+    for category, (signature, inter) in sorted(categories.items()):
+        path = f"{folder}/{quote(category, safe='')}/{quote(signature, safe='')}"
+        if not exists(spark, f"{path}/_SUCCESS"):
+            inter.filter("user IS NOT NULL").groupBy("user").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        out.append(spark.read.parquet(path).select(F.lit(category).alias("category"), "user", "n"))
+    return reduce(DataFrame.unionByName, out)

@@ -328,7 +328,36 @@ def report(graph: Graph, raw: DataFrame | None = None) -> DataFrame:
     if raw is None:
         return out
     before = raw.groupBy("relation").agg(F.count_distinct("value").alias("distinct_raw"))
-    return out.join(before, "relation", "left").withColumn("reduction", 100 * (1 - F.col("distinct_values") / F.col("distinct_raw")))
+    return out.join(before, "relation", "left").withColumn("reduction", F.round(100 * (F.col("distinct_raw") - F.col("distinct_values")) / F.col("distinct_raw"), 1))
+
+
+def operator_statistics(products: DataFrame, plan: Plan) -> DataFrame:
+    """relation, step, op, rows_in, values_in, rows_out, values_out of each operator in the first pass (learned ones hand their input on)."""
+    products = products.filter("pid IS NOT NULL AND pid <> ''")
+    counted = []
+    every = materialize(raw_values(products, plan.relations), "raw", ["of"])
+    for r in plan.relations:
+        rows = every.filter(F.col("of") == r.name)
+        for i, (name, params) in enumerate(filter(None, map(step, r.pipeline))):
+            if name in LEARNED or name == "match_learned" or _evidence(name, params):
+                continue
+            before = rows
+            rows = rows.withColumn("vals", apply(F.col("vals"), name, params, plan.env(r.name)).values)
+            sums = lambda df, s: df.agg(F.count_if(F.size("vals") > 0).alias(f"rows_{s}"), F.coalesce(F.sum(F.size("vals")), F.lit(0)).alias(f"values_{s}"))
+            counted.append(sums(before, "in").crossJoin(sums(rows, "out")).select(F.lit(r.name).alias("relation"), F.lit(i).alias("step"), F.lit(name).alias("op"), "rows_in", "values_in", "rows_out", "values_out"))  # one row each
+    return reduce(DataFrame.unionByName, counted)
+
+
+def summary(graph: Graph, plan: Plan) -> dict:
+    """What a run says about a category: products, triples, texts, pictures, edges, and per relation its figures and sources."""
+    n = graph.link.count()
+    triples = graph.kg.count()
+    sources = {r.name: r.sources for r in plan.relations}
+    relations = {r.relation: {"triples": r.triples, "distinct_values": r.distinct_values, "sources": sources.get(r.relation, ["derived"])} for r in report(graph).collect()}  # one row per relation
+    return {
+        "category": plan.category, "two_passes": plan.two_passes, "products": n, "triples": triples, "triples_per_product": round(triples / n, 2) if n else 0, "texts": graph.text.count(),
+        "images": graph.image.count(), "taxonomy_edges": graph.taxonomy.count(), "relations": relations,
+    }
 
 
 def write_tables(known: Learned, path: str) -> None:

@@ -179,3 +179,28 @@ class Config:
                         if params.get(ref) and not plan.env(r.name).rule(params[ref], dict) and not plan.env(r.name).rule(params[ref], list):
                             out.append(f"{category}.{r.name}: {ref} {params[ref]!r} leads nowhere")
         return out
+
+    def alias_report(self) -> list[dict[str, Any]]:
+        """Per rule table with aliases of persons: mappings, canonical forms, variants attached, chains (a target that is an alias itself) and
+        circles (chains that come back to their start)."""
+        from loomgraph.functions.persons import alias_clusters
+
+        out = []
+        for name, table in self.rules.items():
+            pairs = table.get("person_mappings") if isinstance(table, dict) else None
+            if not pairs:
+                continue
+            clusters = alias_clusters(pairs)
+
+            def circles(start: str, pairs: dict = pairs) -> bool:
+                at, seen = pairs.get(start), {start}
+                while at is not None and at not in seen:
+                    seen.add(at)
+                    at = pairs.get(at)
+                return at == start
+
+            out.append({
+                "rules": name, "mappings": len(pairs), "canonical": len(set(clusters.values())), "variants": len(clusters),
+                "chains": sum(target in pairs for target in pairs.values()), "circles": sum(map(circles, pairs)),
+            })
+        return out

@@ -88,7 +88,6 @@ OUNCES = {"g": 1, "kg": 1000, "oz": 28.349523, "lb": 453.59237, "pounds": 453.59
 FRAGMENTS = lambda seps, least: f"list_filter(list_transform(regexp_split_to_array(v, '{seps}'), lambda x: {C('x')}), lambda x: length(x) >= {least})"
 
 value_query("op_strip_html", "strip_html", "hasSpecialFeature", sql=ENTITIES)
-value_query("op_fix_encoding", "fix_encoding", "hasBrand", sql="v")
 value_query("op_collapse_ws", "collapse_ws", "hasColor", sql="v")
 value_query("op_lower", "lower", "hasMaterial", sql="lower(v)")
 value_query("op_upper", "upper", "hasCountryOfOrigin", sql="upper(v)")
@@ -115,8 +114,6 @@ value_query(
 value_query("op_map_strict", "map", "hasColor", {"table": COLOURS, "strict": True}, rows="SELECT row_id, unnest(CASE " + " ".join(f"WHEN {K('v')} = '{k}' THEN {v.split(',')}" for k, v in COLOUR_KEYS.items()) + " ELSE [] END) AS value FROM src")
 value_query("op_regex_map", "regex_map", "hasReleaseDate", {"rules": [[r".*\b((?:19|20)\d\d)\b.*", r"\1"]], "whole": False}, sql=r"regexp_replace(v, '.*\b((?:19|20)\d\d)\b.*', '\1')")
 value_query("op_prefix_map", "prefix_map", "hasBrand", {"table": {"Bripabokrol": ["bripabokrol"], "Works": ["works", "wks"]}}, sql=f"CASE WHEN contains(replace({K('v')}, ' ', ''), 'bripabokrol') THEN 'Bripabokrol' WHEN regexp_matches(replace({K('v')}, ' ', ''), 'works|wks') THEN 'Works' ELSE v END")
-value_query("op_person_name", "person_name", "hasDirector")
-value_query("op_normalize_dimensions", "normalize_dimensions", "hasItemWeight", sql=r"CASE WHEN regexp_full_match(v, '\d+') THEN v || ' cm' ELSE v END")
 NUM = r"regexp_replace(coalesce(nullif(regexp_extract(v, '(?i)(\d[\d,.\s]{0,9})\s*(?:pages?|p\.?|pp\.?)\b', 1), ''), regexp_extract(v, '(\d[\d,.\s]*)', 1)), '[^\d]', '', 'g')"
 value_query("op_parse_pages_bin", "parse_pages_bin", "hasPageCount", {"bins": PAGES}, rows=f"SELECT row_id, CASE WHEN n < 200 THEN 'short' WHEN n < 500 THEN 'middle' ELSE 'long' END AS value FROM (SELECT row_id, TRY_CAST({NUM} AS BIGINT) AS n FROM src) WHERE n > 0 AND n < 30000")
 RUN = r"""CASE WHEN regexp_matches(v, '^\d{1,2}:\d\d') THEN CAST(split_part(v, ':', 1) AS INT) * 60 + CAST(split_part(v, ':', 2) AS INT)
@@ -180,12 +177,6 @@ def op_dimension_volume(spark, d):
     return parts.select("p_partkey", F.explode("vals").alias("volume"))
 
 
-@query()
-def op_extract_sizes(spark, d):
-    names = table(spark, d, "kg_link").filter("product_name IS NOT NULL").select("subject", F.array("product_name").alias("vals"))
-    return names.withColumn("vals", apply(F.col("vals"), "extract_sizes", {}, Env()).values).select("subject", F.explode("vals").alias("size")).distinct()
-
-
 TYPES = {"kettle": "Kettle", "bag": "Bag", "lamp": "Lamp", "mat": "Mat"}
 SUBTYPES = {"Kettle": {"gooseneck": "Gooseneck", "drip": "Drip"}, "Bag": {"dry": "Dry Bag", "sling": "Sling Bag"}, "Lamp": {"desk": "Desk Lamp"}, "Mat": {"yoga": "Yoga Mat"}}
 
@@ -200,12 +191,6 @@ _HAS = lambda w: f"regexp_matches(lower(product_name), '(^|[^a-z0-9]){w}([^a-z0-
 _EDGE = " UNION ".join(f"SELECT DISTINCT '{t}' AS parent, 'hasSubtype' AS relation, '{s}' AS child FROM kg_link WHERE {_HAS(w)} AND {_HAS(t.lower())}" for t, m in SUBTYPES.items() for w, s in m.items())
 
 
-@query()
-def op_match_subtype(spark, d):
-    names, got = _subtype(spark, d)
-    return names.select("product_id", got.values.alias("v")).select("product_id", F.explode("v").alias("value"))
-
-
 @query(_EDGE)
 def taxonomy_edges(spark, d):
     names, got = _subtype(spark, d)
@@ -266,12 +251,6 @@ def learn_fold_partial_names(spark, d):
     return learn.surname_map(_known(spark, d).filter("relation = 'hasAuthor'"), ["relation"], 2)
 
 
-@query()
-def learn_fold_plural(spark, d):
-    words = table(spark, d, "kg_text").filter("text IS NOT NULL").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("value"))
-    return learn.plural_map(learn.counts(words, []), [], 1)
-
-
 @query(
     f"WITH {_CNT}, p AS (SELECT relation, value, n FROM c WHERE relation IN ('hasCategory', 'hasSpecialFeature')), "
     "h AS (SELECT *, regexp_matches(value, ' & | and | [+] |/|,') AS weak FROM p), "
@@ -296,14 +275,6 @@ def apply_canon_min_support(spark, d):
     return rows.join(support.select("relation", "value"), ["relation", "value"]).select("row_id", "value")
 
 
-@query()
-def op_match_learned(spark, d):
-    names = _known(spark, d).filter("relation = 'hasBrand'")
-    terms = learn.vocabulary(names, [], 5, 40)
-    texts = table(spark, d, "kg_text").filter("text IS NOT NULL").select("row_id", "text")
-    return learn.find_vocabulary(texts, [], terms, ["row_id"])
-
-
 # records and graph
 
 
@@ -476,11 +447,6 @@ def wilson_interval(spark, d):
     return x.select("category", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
 
-@query()
-def stratified_sample(spark, d):
-    return graph.stratified_sample(table(spark, d, "kg_image").filter("variant IS NOT NULL"), "variant", "row_id", 20).select("variant", "row_id")
-
-
 @query("SELECT event_type, count(value) AS runs, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS deviation FROM events GROUP BY event_type")
 def seed_summary(spark, d):
     s = graph.seed_summary(table(spark, d, "events"), ["event_type"], "value")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,6 +112,17 @@ def latex_half_matrix(pairs: DataFrame, value: str, categories: list[str], form:
     return "\n".join(lines)
 
 
+def latex_macros(values: dict[str, object]) -> str:
+    """One ``newcommand`` per value; whole numbers get thousands separators, other numbers one decimal, signs of LaTeX are escaped."""
+
+    def written(v: object) -> str:
+        if isinstance(v, bool) or not isinstance(v, (int, float)):
+            return re.sub(r"([&%$#_{}])", r"\\\1", str(v))
+        return f"{v:,}".replace(",", "{,}") if isinstance(v, int) else f"{v:.1f}"
+
+    return "\n".join(f"\\newcommand{{\\{name}}}{{{written(v)}}}" for name, v in values.items())
+
+
 def external_subset(targets: DataFrame, current: DataFrame, legacy: DataFrame) -> DataFrame:
     """Records of the wanted ids (product_id): from the current source, what is missing there from the legacy one, the first record of each (by row)."""
     wanted = targets.select("product_id").distinct()

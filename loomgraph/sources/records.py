@@ -55,6 +55,16 @@ def read_json_lines(spark: SparkSession, paths: list[str], known: list[str] | No
     return lines.repartition(partitions) if partitions else lines
 
 
+def first_records(records: DataFrame, n: int, order: str = "row") -> DataFrame:
+    """The first n records in the order of reading, for a trial run."""
+    return records.orderBy(order).limit(n)
+
+
+def sampled(records: DataFrame, n: int, key: str = "row", seed: int = 13) -> DataFrame:
+    """n records with the smallest hashes of seed and key: the same ones in each run, and spread over all files."""
+    return records.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).orderBy("_h", key).limit(n).drop("_h")
+
+
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """row, json of each object of a file that is one JSON array."""
     whole = spark.read.text(path, wholetext=True)

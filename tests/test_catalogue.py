@@ -7,7 +7,7 @@ import __spark_entry__ as e
 
 def by_sql(name, d):
     db = duckdb.connect()
-    for t in ("kg_triples", "kg_link", "kg_text", "kg_image", "interactions"):
+    for t in ("kg_triples", "kg_link", "kg_text", "kg_image", "interactions", "documents", "rule_terms", "canon_values", "relation_types"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
     got = db.sql(e.oracle_sql()[name])
     return got.columns, Counter(got.fetchall())
@@ -36,3 +36,14 @@ def test_half_matrix_all_has_every_category(spark, sf):
     assert set(by_sql("half_matrix_all", sf)[0]) == {"category_a"} | categories
     pairs = sum(by_sql("shared_users", sf)[1].values())
     assert sum(v is not None for r in rows for v in r[1:]) == pairs > sum(v is not None for r in by_sql("half_matrix", sf)[1] for v in r[1:])
+
+
+def test_worked_examples_sources_and_sinks(spark, sf):
+    for name in (
+        "op_person_name", "op_normalize_dimensions", "op_extract_sizes", "op_fix_encoding", "source_json_lines", "source_json_array", "source_csv", "source_literals", "sink_tsv",
+        "sink_interactions", "external_subset", "learn_fold_plural", "audit_missed_merges", "audit_suspicious_merges", "audit_scores", "url_diagnose", "image_form",
+    ):
+        df = e.queries()[name](spark, sf)
+        columns, rows = by_sql(name, sf)
+        order = [columns.index(c) for c in df.columns]
+        assert Counter(map(tuple, df.collect())) == Counter(tuple(float(r[i]) if type(r[i]).__name__ == "Decimal" else r[i] for i in order) for r in rows.elements()), name
