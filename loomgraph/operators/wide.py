@@ -25,9 +25,12 @@ def latest_cells(triples: DataFrame, specs: list[tuple]) -> DataFrame:
 
     One aggregation with partial sums on the map side, so a hot entity costs a row per task.
     """
-    read = F.lit(None).cast("string")
+    readers: dict[tuple, list[str]] = {}
     for relation, _, data_type, unit in specs:
-        read = F.when(F.col("relation") == relation, cell_reader(data_type, unit)[0](F.col("value"), F.col("tidied"))).otherwise(read)
+        readers.setdefault((data_type, unit), []).append(relation)
+    read = F.lit(None).cast("string")
+    for (data_type, unit), relations in readers.items():  # one branch a reader, so that the expression stays small enough to be compiled
+        read = F.when(F.col("relation").isin(relations), cell_reader(data_type, unit)[0](F.col("value"), F.col("tidied"))).otherwise(read)
     rows = (
         triples.select(subject_id("subject").alias("product_id"), "relation", "value", "loaded_at", "row_id")
         .filter(F.col("product_id").isNotNull() & F.col("value").isNotNull() & F.col("relation").isin([s[0] for s in specs]))
