@@ -36,14 +36,15 @@ def k_core(pairs: DataFrame, k: int) -> DataFrame:
     """
     now = materialize(pairs, "core")
     while True:
-        users = now.groupBy("user").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") < k).select("user")
-        items = now.groupBy("item").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") < k).select("item")
-        few_users, few_items = materialize(users, "few"), materialize(items, "few")
-        if few_users.isEmpty() and few_items.isEmpty():
+        ends = F.array(F.struct(F.lit("user").alias("kind"), F.col("user").cast("string").alias("id")), F.struct(F.lit("item").alias("kind"), F.col("item").cast("string").alias("id")))
+        counted = now.select(F.explode(ends).alias("e")).groupBy("e.kind", "e.id").agg(F.count(F.lit(1)).alias("c"))  # both in one pass
+        few = materialize(counted.filter(F.col("c") < k).select("kind", "id"), "few")
+        if few.isEmpty():
             return now
-        kept = materialize(now.join(few_users, "user", "left_anti").join(few_items, "item", "left_anti").select(*pairs.columns), "core")
-        for passed in (now, few_users, few_items):
-            discard(passed)
+        rare = lambda kind: few.filter(F.col("kind") == kind).select(F.col("id").alias(kind))  # noqa: B023, E731
+        kept = materialize(now.join(rare("user"), "user", "left_anti").join(rare("item"), "item", "left_anti").select(*pairs.columns), "core")
+        discard(now)
+        discard(few)
         now = kept
 
 

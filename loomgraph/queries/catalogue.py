@@ -694,11 +694,15 @@ categories:
 
 
 @query()
-def kg_build(spark, d):
-    """Flagship: records with open attributes to a normalised graph, by the two passes of the engine."""
+def kg_build(spark, d, copies: int = 1):
+    """Flagship: records with open attributes to a normalised graph, by the two passes of the engine. The benchmark repeats the products under
+    new ids to see how it grows."""
     rows = table(spark, d, "kg_triples").select(subject_id("subject").alias("pid"), "relation", "value", "row_id").filter("pid IS NOT NULL AND relation IS NOT NULL AND value IS NOT NULL")
     details = rows.groupBy("pid", "relation").agg(F.max_by("value", "row_id").alias("value"), F.min("row_id").alias("ord"))
     records = details.groupBy("pid").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("relation", "value")))).alias("details"), F.min("ord").alias("ord"))  # one value per relation
     names = table(spark, d, "kg_link").groupBy(norm_id("product_id").alias("pid")).agg(F.min("product_name").alias("title"))
-    products = records.join(names, "pid").select("pid", "ord", F.to_json(F.struct("title", "details")).alias("json")).select("pid", "ord", flat(F.col("json")).alias("flat"))
+    made = records.join(names, "pid")
+    if copies > 1:
+        made = made.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn("pid", F.concat_ws("-", "pid", "copy"))
+    products = made.select("pid", "ord", F.to_json(F.struct("title", "details")).alias("json")).select("pid", "ord", flat(F.col("json")).alias("flat"))
     return build(products, Config.parse(DEMO).plan("Everything")).kg
