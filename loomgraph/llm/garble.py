@@ -30,9 +30,8 @@ _FOREIGN = re.compile(r"[^\x00-\x7f]+")
 _DIGITS = re.compile(r"\d+")
 _CONTROL = re.compile("[\x80-\x84\x86-\x9f]")  # U+0085 is a line end
 _LOST = "�"
-#: What every text has that a Restorer may change or report, for the JVM: readings make two characters or more of one. The test is a
-#: plain one, as classes of the readings' own characters cost the JVM more than they spare Python.
-GATE = r"[^\x00-\x7f]{2}|[\x{80}-\x{9f}\x{fffd}]"
+#: What every text has that a Restorer may change or report: readings make two characters or more of one.
+_GATE = re.compile("[^\x00-\x7f]{2}|[\x80-\x9f\ufffd]")
 
 
 def alphabet(codec: str) -> list[str]:
@@ -324,6 +323,8 @@ class Restorer:
 
     def restore(self, text: str) -> tuple[str, bool]:
         """The text put right as far as possible, and whether it is garbled anywhere."""
+        if not _GATE.search(text):
+            return text, False
         out = text
         if _CONTROL.search(text):
             out = _CUT.sub("\xa0", _SINGLE.sub(_japanese, out))
@@ -408,7 +409,7 @@ def garbled(documents: DataFrame, key: str = "doc_id", text: str = "text", fill_
             at = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(restored, pa.string())], names=out_names)
 
-    bad = documents.select(key, text).filter(F.col(text).rlike(GATE)).mapInArrow(run, schema)
+    bad = documents.select(key, text).filter(F.col(text).rlike(r"[^\x00-\x7f]")).mapInArrow(run, schema)
     return _filled(bad, references(seen), key, text) if fill_lost else bad
 
 
