@@ -15,7 +15,7 @@ from loomgraph.functions.text import accent_score, match_key, tight_key
 from loomgraph.operators.values import WEAK, split_by
 
 #: Singulars whose plural means another thing (fixed values).
-DISTINCT_PLURALS = "arm brief custom glass good new short spectacle tight work".split()
+DISTINCT_PLURALS = ["arm", "brief", "custom", "glass", "good", "new", "short", "spectacle", "tight", "work"]
 CONJUNCTIONS = (" & ", " and ", " + ", " et ")
 
 

@@ -30,8 +30,8 @@ LEARNED = ("canon_by_freq", "fold_by_prefix", "fold_partial_names", "fold_plural
 #: Separators, words that stay small in titles, and words for yes and no (fixed values).
 SEPARATORS = [",", ";", "|", "/", " & ", " and ", "•"]
 STRONG, WEAK = [";", "|", "•"], [" & ", " and ", " + ", "/", ","]
-SMALL_WORDS = "a an and the of or for in on at to by with from de du des la le les et".split()
-YES = "yes y true t 1 oui vrai si required include included with available supported enabled".split()
+SMALL_WORDS = ["a", "an", "and", "the", "of", "or", "for", "in", "on", "at", "to", "by", "with", "from", "de", "du", "des", "la", "le", "les", "et"]
+YES = ["yes", "y", "true", "t", "1", "oui", "vrai", "si", "required", "include", "included", "with", "available", "supported", "enabled"]
 NO = ["no", "n", "false", "f", "0", "non", "faux", "none", "not required", "no batteries required", "not included", "without", "not available", "na", "n/a", "not enabled", "disabled"]
 
 
