@@ -479,12 +479,6 @@ def subsumed_relation(spark, d):
     return between_relations(_triples(spark, d, "hasColor", "hasMaterial", "hasCategory"), plan)
 
 
-@query(f"WITH {_SRC} SELECT pid, count(*) AS n FROM t GROUP BY pid HAVING count(*) >= 5")
-def min_relations(spark, d):
-    t = table(spark, d, "kg_triples").filter("value IS NOT NULL").select(subject_id("subject").alias("pid")).filter("pid IS NOT NULL")
-    return t.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5")
-
-
 @query(f"WITH x AS (SELECT row_id AS pid, {C('text')} AS t FROM kg_text WHERE text IS NOT NULL) SELECT pid, CASE WHEN length(t) > 60 THEN regexp_replace(left(t, 60), '\\s\\S*$', '') ELSE t END AS text FROM x WHERE length(t) >= 3")
 def text_modality(spark, d):
     """Texts cleaned and cut to 60 characters at a word."""

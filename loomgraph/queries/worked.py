@@ -3,6 +3,9 @@ out in the SQL; sources and sinks, written to the shared folder and read back; l
 
 from __future__ import annotations
 
+import io
+import json
+import zipfile
 from collections.abc import Callable
 from typing import Any
 
@@ -11,10 +14,10 @@ from pyspark.sql import functions as F
 
 from loomgraph.common import new_path, norm_id, subject_id, table
 from loomgraph.operators import audit, graph, interactions, learn, profile
-from loomgraph.operators.values import Env, apply
+from loomgraph.operators.values import Env, apply, step
 from loomgraph.plans.build import build, report
 from loomgraph.plans.config import Config
-from loomgraph.sources import exports, records
+from loomgraph.sources import archives, exports, records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -186,6 +189,21 @@ def build_report(spark, d):
     return report(_built(spark, d))
 
 
+@query(f"WITH {_BUILT} SELECT pid, count(*) AS n FROM kg GROUP BY pid")
+def min_relations(spark, d):
+    """Triples of the products that the engine keeps: those of three or more."""
+    return _built(spark, d).kg.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"WITH {_BUILT}, n AS (SELECT pid, trim({_C('title')}, ' -|·•,;') AS name FROM titles WHERE pid IN (SELECT pid FROM t)), h AS (SELECT name, count(*) AS n_homonyms FROM n WHERE name <> '' GROUP BY name) "
+    "SELECT pid AS product_id, name || ' ##' || pid AS subject, n_homonyms, name AS product_name FROM n JOIN h USING (name) WHERE pid IN (SELECT pid FROM kg)"
+)
+def subject_build(spark, d):
+    """Subjects and the numbers of products that share their names."""
+    return _built(spark, d).link.select("product_id", "subject", "n_homonyms", "product_name")
+
+
 @query("SELECT variant, least(20, count(*)) AS n, count(*) >= 20 AS is_full, true AS all_members FROM kg_image WHERE variant IS NOT NULL GROUP BY variant")
 def stratified_sample(spark, d):
     """Twenty rows of each variant: how many were drawn, and that all are rows of their variant, each drawn once."""
@@ -223,6 +241,26 @@ def source_json_array(spark, d):
     return records.read_json_array(spark, path).select(F.from_json("json", "relation string, term string, canonical_id bigint").alias("r")).select("r.*")
 
 
+@query("SELECT 'list.zip/a.jsonl' AS member, canonical_id, relation FROM canon_values UNION ALL SELECT 'list.zip/inner.zip/b.jsonl', canonical_id, relation FROM canon_values")
+def source_zip(spark, d):
+    """Lines of an archive and of an archive within it."""
+    lines = "\n".join(json.dumps(r.asDict(), ensure_ascii=False) for r in table(spark, d, "canon_values").select("canonical_id", "relation").collect())  # a reference list of fixed size
+    inner, outer = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("b.jsonl", lines)
+        z.writestr("b.txt", "not read")
+    with zipfile.ZipFile(outer, "w") as z:
+        z.writestr("a.jsonl", lines)
+        z.writestr("inner.zip", inner.getvalue())
+    path = f"{new_path(spark, 'zip')}/list.zip"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(outer.getvalue()))
+    out.close()
+    got = archives.read_zip_lines(spark, path, ".jsonl")
+    return got.select("member", F.from_json("value", "canonical_id bigint, relation string").alias("r")).select("member", "r.*")
+
+
 def _tabled(spark: SparkSession, d: str, sep: str, suffix: str) -> DataFrame:
     path = new_path(spark, f"table{suffix}")
     t = table(spark, d, "relation_types").select(F.col("relation").alias("name"), F.col("column_name").alias("details/column"), F.col("unit").alias("details/unit"))
@@ -394,3 +432,60 @@ def audit_read(spark, d):
     line = F.when(n == 0, "# note").when(n == 1, F.concat_ws("\t", F.lit("s"), F.coalesce("relation", F.lit("")), F.lit("o"))).when(n == 2, F.concat(F.lit("broken "), F.col("row_id").cast("string"))).otherwise(F.concat_ws("\t", F.col("row_id").cast("string"), F.lit("r"), F.lit("o")))
     table(spark, d, "kg_triples").select(line.alias("value")).write.text(path)
     return audit.read_counts(spark.read.text(path))
+
+
+# configurations
+
+_FAMILY = """
+defaults: {pre_ops: [collapse_ws], global_relations: {hasBrand: {sources: [brand], ops: [title_case]}}}
+categories:
+  _base: {relations: {hasColor: {sources: [color], ops: [lower]}, hasSize: {sources: [size]}}}
+  Books: {inherit: _base, relations: {hasColor: {sources: [cover color], ops: [upper, lower]}, hasSize: null}}
+  Films: {inherit: Books, relations: {hasRuntime: {sources: [runtime, length], pre_ops: [], ops: [{op: parse_runtime_bin}]}}}
+"""
+_BROKEN = """
+categories:
+  A: {relations: {hasX: {ops: [lower]}, hasY: {sources: [y], ops: [no_such_op, {op: map, rules_ref: colors.missing}]}}}
+  B: {inherit: C}
+  C: {inherit: B}
+"""
+
+
+@query(
+    "SELECT * FROM (VALUES ('Books', 'hasBrand', 'brand', 'collapse_ws,title_case'), ('Books', 'hasColor', 'cover color', 'collapse_ws,upper,lower'), "
+    "('Films', 'hasBrand', 'brand', 'collapse_ws,title_case'), ('Films', 'hasColor', 'cover color', 'collapse_ws,upper,lower'), ('Films', 'hasRuntime', 'runtime,length', 'parse_runtime_bin')) v(category, relation, sources, pipeline)"
+)
+def config_inheritance(spark, d):
+    """Relations of categories that inherit, override and take away."""
+    config = Config.parse(_FAMILY)
+    rows = [(c, r.name, ",".join(r.sources), ",".join(step(o)[0] for o in r.pipeline)) for c in config.categories for r in config.plan(c).relations]
+    return spark.createDataFrame(rows, "category string, relation string, sources string, pipeline string")
+
+
+@query("SELECT * FROM (VALUES ('A.hasX', 'no sources'), ('A.hasY', 'unknown operation'), ('A.hasY', 'leads nowhere'), ('B', 'circle'), ('C', 'circle'), ('strict', 'repeated key')) v(place, problem)")
+def config_validation(spark, d):
+    """Problems of a configuration, and a key that is written twice."""
+    kinds = ("no sources", "unknown operation", "leads nowhere", "circle")
+    rows = [(p.split(":")[0], next(k for k in kinds if k in p)) for p in Config.parse(_BROKEN, {"colors": {}}).validate()]
+    try:
+        Config.parse("categories: {A: {relations: {}}, A: {relations: {}}}")
+    except Exception:  # whatever the reader of YAML makes of it
+        rows.append(("strict", "repeated key"))
+    return spark.createDataFrame(rows, "place string, problem string")
+
+
+_SHORT = "replace(replace({0}, '_', '\\_'), '&', '\\&')".format
+
+
+@query(
+    f"WITH {_OVER}, c AS (SELECT category, row_number() OVER (ORDER BY category) AS i, count(*) OVER () AS n FROM s), "
+    f"cell AS (SELECT a.category AS a, b.i AS j, CASE WHEN b.i <= a.i THEN '' ELSE coalesce(printf('%.1f', 1000 * j.jaccard), '--') END AS v FROM c a JOIN c b ON b.i > 1 LEFT JOIN j ON j.category_a = a.category AND j.category_b = b.category WHERE a.i < a.n) "
+    f"SELECT {_SHORT('a')} || ' & ' || string_agg(v, ' & ' ORDER BY j) || ' \\\\' AS line FROM cell GROUP BY a"
+)
+def latex_matrix(spark, d):
+    """The upper triangle of shared items, in thousandths, as rows of a LaTeX table."""
+    t = table(spark, d, "interactions")
+    pairs = interactions.entity_overlap(t.select("category", F.col("item").alias("object")))
+    names = sorted(r.category for r in t.filter("category IS NOT NULL").select("category").distinct().collect())
+    lines = exports.latex_half_matrix(pairs, "jaccard", names, scale=1000.0).split("\n")
+    return spark.createDataFrame([(x,) for x in lines], "line string")
