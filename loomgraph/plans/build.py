@@ -109,74 +109,107 @@ def learn_tables(counted: DataFrame, plan: Plan) -> Learned:
     return Learned(canon, prefix, surname, plural, splits, support, known)
 
 
-def _exploded(rows: DataFrame) -> DataFrame:
-    return rows.select(*ROW, F.posexplode("vals").alias("pos", "value"))
+#: A row of the learned operators: its relation and product, and where the value stands.
+KEY = ["of", *ROW]
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """pid, ord, vals from pid, ord, pos, value; the values of one product."""
-    return rows.groupBy(*ROW).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]).alias("vals"))
+def _gathered(rows: DataFrame, key: list[str]) -> DataFrame:
+    """key, vals from key, pos, value; the values of one product and relation."""
+    return rows.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]).alias("vals"))
 
 
-def _replaced(x: DataFrame, relation: str, name: str, params: dict, known: Learned) -> DataFrame:
-    """One learned operator on rows of pid, ord, pos (array of int, for the order), value."""
-    of = lambda t: t.filter(F.col("relation") == relation).drop("relation")
-    with_target = lambda y: y.select(*ROW, "pos", F.coalesce("target", "value").alias("value"))
-    deeper = lambda y, parts: y.select(*ROW, "pos", F.posexplode(parts).alias("i", "value")).select(*ROW, F.concat("pos", F.array("i")).alias("pos"), "value")
+def _replaced(x: DataFrame, name: str, params: dict, known: Learned) -> DataFrame:
+    """One learned operator on rows of of (the relation), pid, ord, pos (array of int, for the order), value."""
+    table = lambda t: t.withColumnRenamed("relation", "of")
+    with_target = lambda y: y.select(*KEY, "pos", F.coalesce("target", "value").alias("value"))
+    deeper = lambda y, parts: y.select(*KEY, "pos", F.posexplode(parts).alias("i", "value")).select(*KEY, F.concat("pos", F.array("i")).alias("pos"), "value")
     if name == "split_smart":
         parts = deeper(x, split_by(F.col("value"), list(params.get("strong", STRONG)), int(params.get("min_len", 3))))
-        return deeper(parts.join(of(known.splits), "value", "left"), F.coalesce("fragments", F.array("value")))
+        return deeper(parts.join(table(known.splits), ["of", "value"], "left"), F.coalesce("fragments", F.array("value")))
     if name == "fold_partial_names":
         single = F.when(~F.contains(F.trim("value"), F.lit(" ")), match_key(F.col("value")))
-        return with_target(x.withColumn("k", single).join(of(known.surname), "k", "left"))
+        return with_target(x.withColumn("k", single).join(table(known.surname), ["of", "k"], "left"))
     if name == "min_support":
-        return x.join(of(known.support).filter(F.col("n") >= int(params.get("n", 2))).select("value"), "value", "left_semi").select(*ROW, "pos", "value")
-    table = {"canon_by_freq": known.canon, "fold_by_prefix": known.prefix, "fold_plural": known.plural}[name]
-    return with_target(x.join(of(table), "value", "left"))
+        enough = table(known.support).filter(F.col("n") >= int(params.get("n", 2))).select("of", "value")
+        return x.join(enough, ["of", "value"], "left_semi").select(*KEY, "pos", "value")
+    learned = {"canon_by_freq": known.canon, "fold_by_prefix": known.prefix, "fold_plural": known.plural}[name]
+    return with_target(x.join(table(learned), ["of", "value"], "left"))
 
 
-def apply_learned(rows: DataFrame, relation: str, steps_: list[tuple[str, dict]], known: Learned) -> DataFrame:
-    """Neighbouring learned operators of a pipeline in the second pass: rows are taken apart and put together once for all of them."""
-    x = _exploded(rows).select(*ROW, F.array("pos").alias("pos"), "value")
+def apply_learned(rows: DataFrame, steps_: list[tuple[str, dict]], known: Learned) -> DataFrame:
+    """Neighbouring learned operators in the second pass, for all relations that have the same ones: rows (of, pid, ord, vals) are taken apart
+    and put together once, and each learned table is joined once."""
+    x = rows.select(*KEY, F.posexplode("vals").alias("pos", "value")).select(*KEY, F.array("pos").alias("pos"), "value")
     for name, params in steps_:
-        x = _replaced(x, relation, name, params, known)
-    return _gathered(x)
-
-
-def relation_values(rows: DataFrame, r: RelationPlan, env: Env, known: Learned | None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """(pid, ord, vals), side triples (pid, ord, relation, value), taxonomy (parent, relation, child) of one relation in the second pass."""
-    sides: list[DataFrame] = []
-    taxonomy: list[DataFrame] = []
-    waiting: list[tuple[str, dict]] = []
-
-    def flushed(df: DataFrame) -> DataFrame:
-        out = apply_learned(df, r.name, list(waiting), known) if waiting and known is not None else df
-        waiting.clear()
-        return out
-
-    for name, params in filter(None, map(step, r.ops)):
-        if name in LEARNED or _evidence(name, params):
-            waiting.append((name, params))
-            continue
-        rows = flushed(rows)
+        x = _replaced(x, name, params, known)
+    return _gathered(x, KEY)
+
+
+class _Relation:
+    """A relation on its way through the second pass."""
+
+    def __init__(self, rows: DataFrame, plan: RelationPlan, env: Env):
+        self.rows, self.plan, self.env = rows, plan, env  # rows: pid, ord, vals
+        self.todo = list(filter(None, map(step, plan.ops)))
+        self.sides: list[DataFrame] = []
+        self.taxonomy: list[DataFrame] = []
+
+    def advance(self, known: Learned | None) -> list[tuple[str, dict]]:
+        """Applies operators up to the next learned ones, which come back; none at the end of the pipeline."""
+        while self.todo:
+            learned: list[tuple[str, dict]] = []
+            while self.todo and (self.todo[0][0] in LEARNED or _evidence(*self.todo[0])):
+                learned.append(self.todo.pop(0))
+            if learned and known is not None:
+                return learned
+            if self.todo:
+                self._plain(*self.todo.pop(0), known)
+        return []
+
+    def _plain(self, name: str, params: dict, known: Learned | None) -> None:
         if name == "match_learned":
             if known is None:
-                return rows.limit(0), None, None
-            source = known.counts.filter(F.col("relation") == str(params.get("learn_from") or r.name)).drop("relation")
+                self.rows, self.todo = self.rows.limit(0), []
+                return
+            source = known.counts.filter(F.col("relation") == str(params.get("learn_from") or self.plan.name)).drop("relation")
             terms = learn.vocabulary(source, [], int(params.get("min_count", 3)), int(params.get("max_len", 40)))
-            text = rows.select(*ROW, F.array_join("vals", " ; ").alias("text"))
-            rows = _gathered(learn.find_vocabulary(text, [], terms, ROW, max_terms=int(params.get("max_terms", 2))))
-        else:
-            got = apply(F.col("vals"), name, params, env)
-            if got.sides is not None:
-                sides.append(rows.select(*ROW, got.sides.alias("s")).select(*ROW, F.explode("s").alias("s")).select(*ROW, "s.relation", "s.value"))
-            if got.taxonomy is not None:
-                taxonomy.append(rows.select(got.taxonomy.alias("t")).select(F.explode("t").alias("t")).select("t.parent", "t.relation", "t.child"))
-            rows = rows.withColumn("vals", got.values)
-    rows = flushed(rows)
-    rows = rows.withColumn("vals", distinct_by(F.col("vals"), match_key)).filter(F.size("vals") > 0)
-    union = lambda xs: reduce(DataFrame.unionByName, xs) if xs else None
-    return rows, union(sides), union(taxonomy)
+            text = self.rows.select(*ROW, F.array_join("vals", " ; ").alias("text"))
+            self.rows = _gathered(learn.find_vocabulary(text, [], terms, ROW, max_terms=int(params.get("max_terms", 2))), ROW)
+            return
+        got = apply(F.col("vals"), name, params, self.env)
+        if got.sides is not None:
+            self.sides.append(self.rows.select(*ROW, got.sides.alias("s")).select(*ROW, F.explode("s").alias("s")).select(*ROW, "s.relation", "s.value"))
+        if got.taxonomy is not None:
+            self.taxonomy.append(self.rows.select(got.taxonomy.alias("t")).select(F.explode("t").alias("t")).select("t.parent", "t.relation", "t.child"))
+        self.rows = self.rows.withColumn("vals", got.values)
+
+
+def second_pass(relations: list[_Relation], known: Learned | None) -> DataFrame:
+    """of, pid, ord, vals: the final values of all relations. Those whose next learned operators are the same go through them together, so
+    the plan grows with the different pipelines of learned operators, not with the relations."""
+    done: list[DataFrame] = []
+    waiting = relations
+    while waiting:
+        groups: dict[str, tuple[list, list[_Relation]]] = {}
+        for r in waiting:
+            if segment := r.advance(known):
+                key = repr([(n, sorted(p.items(), key=repr)) for n, p in segment])
+                groups.setdefault(key, (segment, []))[1].append(r)
+            else:
+                done.append(r.rows.select(F.lit(r.plan.name).alias("of"), *ROW, "vals"))
+        waiting = []
+        for segment, members in groups.values():
+            out = apply_learned(reduce(DataFrame.unionByName, [r.rows.select(F.lit(r.plan.name).alias("of"), *ROW, "vals") for r in members]), segment, known)
+            more = [r for r in members if r.todo]
+            if more:
+                out = materialize(out, "applied", ["of"])
+            ended = [r.plan.name for r in members if not r.todo]
+            done.append(out.filter(F.col("of").isin(ended)) if more else out)
+            for r in more:
+                r.rows = out.filter(F.col("of") == r.plan.name).select(*ROW, "vals")
+            waiting += more
+    every = reduce(DataFrame.unionByName, done)
+    return every.withColumn("vals", distinct_by(F.col("vals"), match_key)).filter(F.size("vals") > 0)
 
 
 def with_fields(products: DataFrame, plan: Plan) -> DataFrame:
@@ -300,14 +333,14 @@ def build(products: DataFrame, plan: Plan, single_pass: bool = False) -> Graph:
         counted = [t for r in plan.relations for t in taps(raw[r.name], r, plan.env(r.name))]
         counts = learn.counts(reduce(DataFrame.unionByName, counted), ["relation", "tap"], order="ord")
         known = learn_tables(materialize(counts, "counts"), plan)
-    triples, taxonomy = [], []
-    for i, r in enumerate(plan.relations):
-        rows, sides, edges = relation_values(raw[r.name], r, plan.env(r.name), known)
-        at = lambda pos, i=i: F.struct(F.lit(i).alias("relation_no"), pos.alias("pos"))
-        triples.append(_exploded(rows).select("pid", F.lit(r.name).alias("relation"), "value", at(F.col("pos")).alias("at")))
-        if sides is not None:
-            triples.append(sides.select("pid", "relation", "value", at(F.lit(1 << 20)).alias("at")).distinct())
-        taxonomy += [edges] if edges is not None else []
+    on_the_way = [_Relation(raw[r.name], r, plan.env(r.name)) for r in plan.relations]
+    values = second_pass(on_the_way, known)
+    number = F.create_map(*[x for i, r in enumerate(plan.relations) for x in (F.lit(r.name), F.lit(i))])
+    at = lambda relation, pos: F.struct(F.try_element_at(number, relation).alias("relation_no"), pos.alias("pos"))
+    triples = [values.select("of", "pid", F.posexplode("vals").alias("pos", "value")).select("pid", F.col("of").alias("relation"), "value", at(F.col("of"), F.col("pos")).alias("at"))]
+    for r in on_the_way:
+        triples += [s.select("pid", "relation", "value", at(F.lit(r.plan.name), F.lit(1 << 20)).alias("at")).distinct() for s in r.sides]
+    taxonomy = [t for r in on_the_way for t in r.taxonomy]
     every = between_relations(reduce(DataFrame.unionByName, triples), plan)
     named = disambiguated(subjects(with_fields(products, plan), plan.subject), plan.subject.get("disambiguate", "always"))
     if plan.drop_without_subject:
