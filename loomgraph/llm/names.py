@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.common import components, discard, join_counted, materialize
+from loomgraph.common import components, join_counted, materialize
 from loomgraph.llm.strings import fold, lcs_ratio, subsequence
 
 #: Suffixes shorter than this are not indexed.

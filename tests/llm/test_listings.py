@@ -86,6 +86,8 @@ def test_the_score_decides(spark, monkeypatch):
 
 def test_edge_cases(spark):
     assert pairs(spark, []) == set()
+    long = " ".join(f"w{i}" for i in range(3000))
+    assert pairs(spark, [("A", f"{long} Wall Frame Black", ""), ("B", f"Wall Frame Black {long}", "")]) == {("A", "B")}
     rows = [("A", "Brimo Works Tarn Wall Frame Black", "x " * 50_000), ("A", "Brimo Works Tarn Wall Frame Black", ""), ("B", "wall frame", ""), ("C", "", "")]
     assert pairs(spark, rows) == set()
 
