@@ -229,13 +229,17 @@ def _rows(text: str) -> str:
 
 #: Signs that a conversion may start at.
 _SIGNS = frozenset("*_~`>#|=<&[{'\\$!:;")
-#: Code points for private use, of which a text needs a stretch of 128 that it doesn't use itself.
-_PRIVATE = (0xE000, 0xF0000, 0x100000)
+#: Stretches of 128 code points for private use; a text needs one that it doesn't use itself.
+_PRIVATE = (range(0xE000 >> 7, 0xF900 >> 7), range(0xF0000 >> 7, 0x10FF80 >> 7))
 
 
 def hidden(text: str, labelled: dict[str, list[tuple[int, int, str, float, str]]]) -> tuple[str, dict[int, str]]:
     """Text whose signs outside the labelled spans are private code points, which no conversion knows, and the way back."""
-    base = next(b for start in _PRIVATE for b in range(start, start + 0x1000, 0x80) if not any(b <= ord(c) < b + 0x80 for c in text))
+    used = {ord(c) >> 7 for c in text if c >= "\ue000"} if max(text, default="") >= "\ue000" else set()
+    free = next((b for blocks in _PRIVATE for b in blocks if b not in used), None)
+    if free is None:
+        return text, {}  # no stretch is free: such a text is converted as a whole
+    base = free << 7
     out = list(text)
     last = 0
     for start, end in sorted((n[0], n[1]) for ns in labelled.values() for n in ns) + [(len(text), len(text))]:
