@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ from loomgraph.llm.strings import fold, lcs_ratio, subsequence
 
 #: Suffixes shorter than this are not indexed.
 LEAST_SUFFIX = 4
-#: Names of a block that are compared with each other; a larger block is refined with another field, and what is still larger
-#: falls to longer suffixes of the same names, which are all indexed.
-BLOCK = 50
+#: Names of a block that are joined with each other; a larger block is refined with another field, and what is still larger is compared in
+#: pieces of about PIECE names, each piece with each. No pair depends on these two, only the cost.
+BLOCK, PIECE = 50, 8192
 #: Two names are variants from this longest-common-subsequence ratio of the whole names on, and this one of the field that differs.
 LEAST_RATIO, LEAST_FIELD = 0.885, 0.8
 #: Given names or trades of this many names are words of their own: they are slips of each other only if one is LOPSIDED times as frequent.
@@ -236,17 +238,90 @@ def _close(x: DataFrame, y: DataFrame, on) -> DataFrame:
     return pairs.select(*[F.col(c).alias(n) for c, n in named]).distinct()
 
 
+def _bags(texts: list[str]) -> np.ndarray:
+    """64 bits a text: which of 32 classes of letters it holds once, and which twice. A letter outside the common subsequence changes one bit at most."""
+    out = np.zeros(len(texts), np.uint64)
+    for i, text in enumerate(texts):
+        bits = 0
+        for c in text:
+            one = 1 << ord(c) % 32
+            bits |= one << 32 if bits & one else one
+        out[i] = bits
+    return out
+
+
+def near_texts(x: list[str], y: list[str], same: int, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in x and y of all pairs that may be alike; the other field, equal in all, has ``same`` letters. itself: y is x, and each pair is wanted once.
+
+    The bags of all pairs are compared. Those near enough get the length of their longest common subsequence from additions of 64-bit words,
+    of 32 classes of letters, so it is never too short. Pairs of a text of more than 64 letters are only compared by bags.
+    """
+    sizes, bags = [np.array([len(t) for t in z], np.int64) for z in (x, y)], [_bags(x), _bags(y)]
+    most = lambda total: np.minimum((1 - LEAST_RATIO) * (total + 2 * same + 2), (1 - LEAST_FIELD) * total) + 1e-9
+    widest = most(sizes[0].max(initial=0) + sizes[1].max(initial=0))
+    held = np.zeros((len(x), 33), np.uint64)  # the places of each class in a text of x; the last class is what follows a text's end
+    for i, text in enumerate(x):
+        if len(text) <= 64:
+            for at, c in enumerate(text):
+                held[i, ord(c) % 32] |= np.uint64(1 << at)
+    codes = np.full((len(y), 64), 32, np.uint8)
+    for j, text in enumerate(y):
+        if len(text) <= 64:
+            codes[j, : len(text)] = [ord(c) % 32 for c in text]
+    step = max(1, (1 << 20) // max(1, len(y)))
+    for at in range(0, len(x), step):
+        i, j = np.nonzero(np.bitwise_count(bags[0][at : at + step, None] ^ bags[1][None, :]) <= widest)
+        i += at
+        total = sizes[0][i] + sizes[1][j]
+        keep = (np.bitwise_count(bags[0][i] ^ bags[1][j]) <= most(total)) & (np.abs(sizes[0][i] - sizes[1][j]) <= most(total))
+        if itself:
+            keep &= i < j
+        i, j, total = i[keep], j[keep], total[keep]
+        left = np.full(len(i), ~np.uint64(0))
+        for k in range(min(64, sizes[1][j].max(initial=0))):
+            both = left & held[i, codes[j, k]]
+            left = (left + both) | (left - both)
+        keep = (total - 2 * np.bitwise_count(~left).astype(np.int64) <= most(total)) | (sizes[0][i] > 64) | (sizes[1][j] > 64)
+        yield i[keep], j[keep]
+
+
+def _compare(group: pa.Table) -> pa.Table:
+    """The pairs of two pieces of a block, or of one with itself, that may be alike."""
+    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    x, y = (group.filter(pc.equal(group["piece"], z)) for z in (low, high))
+    found = [(x.take(pa.array(i)), y.take(pa.array(j))) for i, j in near_texts(x["text"].to_pylist(), y["text"].to_pylist(), group["same"][0].as_py(), low == high)]
+    out: dict[str, list] = {c: [] for c in ("relation", "a", "b", "ca", "cb", "oa", "ob")}
+    for some in found:
+        for r, *pair in zip(some[0]["relation"].to_pylist(), *[list(zip(*[t[c].to_pylist() for c in ("key", "core", "other")], strict=True)) for t in some], strict=True):
+            (a, ca, oa), (b, cb, ob) = sorted(pair)
+            for c, v in zip(out, (r, a, b, ca, cb, oa, ob), strict=True):
+                out[c].append(v)
+    return pa.table({c: pa.array(v, pa.string()) for c, v in out.items()})
+
+
+def _all_near(rows: DataFrame, schema) -> DataFrame:
+    """relation, a, b, ca, cb, oa, ob of all pairs of a block that may be alike. rows: relation, key, core, other, block, text (the field that
+    differs), same (letters of the other). A group holds two pieces at most, whatever the block."""
+    rows = rows.withColumn("block", F.concat_ws("\x1d", "block", F.regexp_replace("text", "[^0-9]+", "")))  # numbers are equal
+    counted = rows.groupBy("relation", "block").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("pieces"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    pieced = rows.join(counted, ["relation", "block"]).withColumn("piece", F.pmod(F.xxhash64("key"), "pieces"))
+    paired = pieced.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    paired = paired.withColumn("low", F.least("piece", "with")).withColumn("high", F.greatest("piece", "with")).drop("with", "pieces")
+    return paired.groupBy("relation", "block", "low", "high").applyInArrow(_compare, schema)
+
+
 def similar_keys(keys: DataFrame, block: int = BLOCK) -> DataFrame:
     """a, b of similar keys. keys: key, relation, core, other.
 
     The index holds the suffixes of both tokens of a name. Every suffix of the core from LEAST_SUFFIX letters on is a block. One that more
-    than ``block`` keys share is refined with the other token; only refined blocks that are still larger are discarded. The suffix
-    that is the whole other token (a given name, a trade) is too common as it stands, so it is refined with the first letters of
-    the core: it finds slips in the core's end. Keys of a block are compared by the ratios of their longest common subsequence.
-
-    No pair that is one slip apart is lost with what is discarded: keys of such blocks, and those of cores too short for a slip to leave a suffix,
-    are joined on what is left of a field after one deletion. Pairs with more slips (long names) are found in any block they share, else
-    through a spelling between them.
+    than ``block`` keys share is refined with the other token. The suffix that is the whole other token (a given name, a trade) is too common
+    as it stands, so it is refined with the first letters of the core: it finds slips in the core's end. Keys of a block are compared by the
+    ratios of their longest common subsequence.
+
+    Nothing is discarded. Refined blocks that are still larger, and the keys of a core that more than ``block`` keys share, are compared in
+    pieces, all with all (``near_texts``). So ``block`` changes no result: all pairs are found that are alike and have the core in common, or the
+    other token and the core's last LEAST_SUFFIX or first letters. Cores too short for a slip to leave a suffix are joined on what is left of
+    them after one deletion too. Other pairs, of several slips that leave neither end, are found through a spelling between them.
     """
     size = F.length("core")
     suffixes = F.transform(F.sequence(F.lit(LEAST_SUFFIX), size), lambda n: F.substr("core", size - n + 1))
@@ -255,23 +330,29 @@ def similar_keys(keys: DataFrame, block: int = BLOCK) -> DataFrame:
     counted = suffix.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     large = F.col("n") > block
     blocks = suffix.join(counted, ["relation", "block"]).select(
-        *keys.columns, F.when(large, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")).alias("block"), (large & (F.col("block") == F.col("core"))).alias("split")
-    )
+        *keys.columns, F.when(large, F.concat_ws("\x1f", "block", "other")).otherwise(F.col("block")).alias("block"),
+        (large & (F.col("block") == F.col("core"))).alias("split"), (F.length("block") == LEAST_SUFFIX).alias("widest"),
+    )
     shortest = F.when(F.col("other") == "", LEAST_SUFFIX).otherwise(LEAST_SUFFIX - 1)
     starts = F.transform(F.sequence(shortest, F.greatest(shortest, size - 1)), lambda n: F.left("core", n))
-    second = indexed.select("*", F.explode(starts).alias("start")).select(*keys.columns, F.concat_ws("\x1e", "other", "start").alias("block"), F.lit(False).alias("split"))
+    second = indexed.select("*", F.explode(starts).alias("start")).select(
+        *keys.columns, F.concat_ws("\x1e", "other", "start").alias("block"), F.lit(False).alias("split"), (F.length("start") == shortest).alias("widest")
+    )
     blocks = materialize(blocks.unionByName(second), "blocks")
     sizes = blocks.groupBy("relation", "block").agg(F.count(F.lit(1)).alias("n"))
     held = blocks.join(sizes.filter(F.col("n").between(2, block)).drop("n"), ["relation", "block"])
     pairs = _close(held.alias("x"), held.alias("y"), F.col("x.block") == F.col("y.block"))
 
-    discarded = blocks.join(sizes.filter(F.col("n") > block).drop("n"), ["relation", "block"], "left_semi").unionByName(blocks.filter("split"))
-    short = keys.filter(size <= 2 * LEAST_SUFFIX)
-    rest = materialize(discarded.select(*keys.columns).unionByName(short).distinct(), "rest")
-    for field, same in (("core", "other"), ("other", "core")):
-        left = rest.withColumn("v", F.explode(_with_deletions(field)))
-        on = (F.col(f"x.{same}") == F.col(f"y.{same}")) & (F.col("x.v") == F.col("y.v"))
-        pairs = pairs.unionByName(_close(left.alias("x"), left.alias("y"), on))
+    # of blocks too large the widest ones hold the pairs of all that refine them
+    crowded = blocks.filter("widest").join(sizes.filter(F.col("n") > block).drop("n"), ["relation", "block"], "left_semi")
+    of_core = blocks.filter("split").select(*keys.columns).unionByName(keys.filter(size < LEAST_SUFFIX).select(*keys.columns)).filter(F.length("other") >= 4)
+    named = ("relation", "key", "core", "other")
+    rest = crowded.select(*named, "block", F.col("core").alias("text"), F.length("other").alias("same")).unionByName(
+        of_core.select(*named, F.col("core").alias("block"), F.col("other").alias("text"), size.alias("same"))
+    )
+    short = keys.filter(size <= 2 * LEAST_SUFFIX).withColumn("v", F.explode(_with_deletions("core")))
+    slips = _close(short.alias("x"), short.alias("y"), (F.col("x.other") == F.col("y.other")) & (F.col("x.v") == F.col("y.v")))
+    pairs = pairs.unionByName(_all_near(rest, pairs.schema)).unionByName(slips)
     found = pairs.distinct().mapInArrow(_near, pairs.schema)
 
     uses = keys.groupBy("relation", "other").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OF_ITS_OWN)

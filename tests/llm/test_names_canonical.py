@@ -101,6 +101,62 @@ def test_no_pair_is_lost_with_large_blocks(spark):
         assert wanted <= got <= all_alike, (got - all_alike, wanted - got)
 
 
+def in_common(c1, c2, o1, o2):
+    """Whether a pair has what any of the blocks needs, or is one deletion apart in a core too short for them."""
+    if c1 == c2:
+        return min(len(o1), len(o2)) >= 4
+    start = names.LEAST_SUFFIX - (o1 != "")
+    left = lambda c: {c} | {c[:i] + c[i + 1 :] for i in range(len(c))}
+    long = min(len(c1), len(c2)) >= names.LEAST_SUFFIX and (c1[-names.LEAST_SUFFIX :] == c2[-names.LEAST_SUFFIX :] or c1[:start] == c2[:start])
+    return o1 == o2 and (long or max(len(c1), len(c2)) <= 2 * names.LEAST_SUFFIX and bool(left(c1) & left(c2)))
+
+
+def test_the_size_of_blocks_changes_no_pair(spark, monkeypatch):
+    rng = __import__("random").Random(11)
+    word = lambda n, of="abcdeiorst": "".join(rng.choice(of) for _ in range(n))
+
+    def slip(w):
+        i = rng.randrange(len(w))
+        return rng.choice([w[:i] + w[i + 1 :], w[:i] + word(1) + w[i:], w[:i] + word(1) + w[i + 1 :]])
+
+    keys = set()
+    for size, tail, others in ((8, "rath", ["", "anna", "lighting"]), (14, "manufaktur", ["", "tool garden"]), (20, "", ["x", "model 7"]), (3, "", ["maximiliana christabel", "bernd"]), (40, "5rath", [""])):
+        for _ in range(16):
+            core, other = word(size), rng.choice(others)
+            for _ in range(5):
+                keys.add((core + tail, other))
+                core = slip(core) if len(core) > 3 else core
+                other = slip(other) if len(other) > 15 else other
+    keys |= {("kromidolever", w) for w in ("wilhelmina josephine", "wilhelmena josefine", "wilelmina josephina") + tuple(word(18) for _ in range(6))}
+    rows = [(f"{c}/{o}", "r", c, o) for c, o in sorted(keys)]
+    df = spark.createDataFrame(rows, "key string, relation string, core string, other string")
+    uses = __import__("collections").Counter(o for _, o in keys)
+    own = lambda a, b: a != b and min(uses[a], uses[b]) >= names.OF_ITS_OWN and min(uses[a], uses[b]) * names.LOPSIDED > max(uses[a], uses[b])
+    wanted = {(k1, k2) for k1, _, c1, o1 in rows for k2, _, c2, o2 in rows if k1 < k2 and (c1 == c2 or o1 == o2) and in_common(c1, c2, o1, o2) and names.alike(c1, c2, o1, o2) and not own(o1, o2)}
+    assert sum(edits(a, b) > 1 for a, b in wanted) > 100
+    for block, piece in ((1, 7), (4, names.PIECE), (names.BLOCK, names.PIECE), (10**9, names.PIECE)):
+        monkeypatch.setattr(names, "PIECE", piece)
+        got = {tuple(r) for r in names.similar_keys(df, block).collect()}
+        assert got == wanted, (block, got - wanted, wanted - got)
+
+
+def test_two_slips_are_found_in_a_block_too_large(spark):
+    rng = __import__("random").Random(12)
+    word = lambda n: "".join(rng.choice("bcdfghklmnprtvz") for _ in range(n))
+    core, other = ("zorusavumekrath", "zorosavumikrath"), ("wilhelmina josephine", "wilhelmena josefine")
+    many = [(word(11) + "krath", "lighting") for _ in range(2 * names.BLOCK)] + [("kromidolever", word(12)) for _ in range(2 * names.BLOCK)]
+    got = similar(spark, many + [(c, "lighting") for c in core] + [("kromidolever", o) for o in other])
+    assert got == {(f"{core[1]}/lighting", f"{core[0]}/lighting"), (f"kromidolever/{other[1]}", f"kromidolever/{other[0]}")}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abeiA1", min_size=1, max_size=14) | st.text("ab", min_size=60, max_size=70), min_size=2, max_size=12, unique=True), st.sampled_from(["", "anna", "wilhelmina josephine"]))
+def test_no_near_text_is_passed_over(texts, other):
+    near = {(i, j) for some in names.near_texts(texts, texts, len(other), True) for i, j in zip(*some, strict=True)}
+    cross = {(i, j) for some in names.near_texts(texts, texts, len(other), False) for i, j in zip(*some, strict=True)}
+    assert {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts) if i < j and names.alike(a, b, other, other)} <= near == {(i, j) for i, j in cross if i < j}
+
+
 def similar(spark, keys):
     df = spark.createDataFrame([(f"{c}/{o}", "r", c, o) for c, o in keys], "key string, relation string, core string, other string")
     return {tuple(r) for r in names.similar_keys(df).collect()}
