@@ -1,11 +1,14 @@
 """Lookup tables learned from the data: one aggregation counts the variants of all relations, joins turn counts into tables.
 
 Counts are rows (keys..., value, n, first): how often a value occurs and where it occurs first; ``first`` breaks ties that would
-otherwise depend on the order of processing. Every table is a DataFrame; nothing is gathered on the driver.
+otherwise depend on the order of processing. Every table is a DataFrame; nothing is gathered on the driver but a map of bits of a fixed
+size at most (find_vocabulary).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,25 +141,62 @@ def vocabulary(c: DataFrame, keys: list[str], min_count: int = 3, max_len: int =
     return fit.groupBy(*keys, F.array_join("w", " ").alias("term")).agg(F.min_by("value", F.struct("first", "value")).alias("value"))
 
 
+#: First words of terms of up to so many are broadcast (a hash and two lengths each), about 100 MB; more are joined by a shuffle.
+BROADCAST_STARTS = 1_000_000
+#: Bits of the map before that shuffle at most, 16 MB; it has sixteen for each first word below that.
+MAP_BITS = 1 << 27
+
+
+def _likely(places: DataFrame, starts: DataFrame, n: int) -> DataFrame:
+    """places, without most of those whose start is none of the n starts, so that the join, which decides, shuffles the others only."""
+    bits = min(MAP_BITS, 1 << max(6, (16 * n - 1).bit_length()))
+    at = F.pmod("start", F.lit(bits))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))
+    rows = starts.groupBy(F.floor(at / 64).cast("int").alias("word")).agg(F.bit_or(mask).alias("mask")).toArrow()
+    filled = np.zeros(bits // 64, np.int64)
+    filled[rows["word"].to_numpy()] = rows["mask"].to_numpy()
+    shared = places.sparkSession.sparkContext.broadcast(filled)
+
+    @F.pandas_udf("boolean")
+    def known(start: pd.Series) -> pd.Series:
+        h = start.to_numpy() % bits
+        return pd.Series((shared.value[h >> 6] >> (h & 63)) & 1 == 1)
+
+    return places.filter(known("start"))
+
+
 def find_vocabulary(texts: DataFrame, keys: list[str], terms: DataFrame, id_cols: list[str], text: str = "text", max_terms: int = 2, max_words: int | None = None) -> DataFrame:
     """id_cols, pos, value: terms of a learned vocabulary in free text, from left to right, the longest first, each word used once.
 
-    The vocabulary may be of any size: all runs of a text of up to max_words words, by default as
-    many as the longest term has, are joined with it; the choice among the hits of one text happens in an ordered fold over that text's own hits.
+    The vocabulary may be of any size: words that start a term (by their hash) are found first, and only the runs from there, of up to
+    max_words words, by default as many as the longest term has, are joined with it; the choice among the hits of one text happens in an ordered
+    fold over that text's own hits. Both joins say how they are done, as Spark takes the exploded side for as small as the file of texts, and broadcasts it.
     """
+    spaced = terms.select(*keys, "term", "value")
+    glued = spaced.withColumn("term", F.replace("term", F.lit(" "), F.lit("")))
+    forms = materialize(spaced.unionByName(glued).groupBy(*keys, "term").agg(F.min("value").alias("value")), "vocabulary")
+    sized = forms.select(*keys, F.xxhash64(F.substring_index("term", " ", 1)).alias("start"), F.size(F.split("term", " ")).alias("len"))
+    sized = sized if max_words is None else sized.filter(F.col("len") <= max_words)
+    starts = sized.groupBy(*keys, "start").agg(F.min("len").alias("shortest"), F.max("len").alias("longest"))
+    n_starts, most = starts.agg(F.count(F.lit(1)), F.max("longest")).first()
+    ids = [*id_cols, *[k for k in keys if k not in id_cols]]
+    most = most or 1
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    if max_words is None:
-        max_words = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+    following = [F.slice("w", i + 1, F.size("w")).alias(f"w{i}") for i in range(most)]  # a column for each next word: a row of a long text carries no more
+    places = (
+        texts.select(*ids, words.alias("w")).filter(F.size("w") > 0)
+        .select(*ids, F.size("w").alias("n"), *following)
+        .select(*ids, "n", F.posexplode(F.arrays_zip(*[f"w{i}" for i in range(most)])).alias("at", "next"))
+        .select(*ids, "at", (F.col("n") - F.col("at")).alias("left"), F.xxhash64("next.w0").alias("start"), F.array(*[f"next.w{i}" for i in range(most)]).alias("next"))
+    )
+    few = n_starts <= BROADCAST_STARTS
+    begun = places.join(F.broadcast(starts), [*keys, "start"]) if few else _likely(places, starts, n_starts).join(starts.hint("merge"), [*keys, "start"])
     runs = (
-        texts.select(*id_cols, *[k for k in keys if k not in id_cols], words.alias("w")).filter(F.size("w") > 0)
-        .select("*", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("w") - F.col("at")))).alias("len"))
-        .select(*id_cols, *[k for k in keys if k not in id_cols], "at", "len", F.array_join(F.slice("w", F.col("at") + 1, F.col("len")), " ").alias("term"))
+        begun.filter(F.col("left") >= F.col("shortest"))
+        .select(*ids, "at", "next", F.explode(F.sequence("shortest", F.least("longest", "left"))).alias("len"))
+        .select(*ids, "at", "len", F.array_join(F.slice("next", 1, F.col("len")), " ").alias("term"))
     )
-    spaced = terms.select(*keys, "term", "value")
-    glued = spaced.withColumn("term", F.replace("term", F.lit(" "), F.lit("")))
-    forms = spaced.unionByName(glued).groupBy(*keys, "term").agg(F.min("value").alias("value"))
-    hits = runs.join(forms, [*keys, "term"])
+    hits = runs.join(forms.hint("merge"), [*keys, "term"])
     per_text = hits.groupBy(*id_cols).agg(F.array_sort(F.collect_list(F.struct("at", (-F.col("len")).alias("short"), "value"))).alias("hits"))  # the hits of one text
     start = F.struct(F.lit(0).alias("free"), F.array().cast("array<struct<at:int,value:string>>").alias("taken"))
     fold = F.aggregate(

@@ -1,3 +1,7 @@
+import random
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.common import components
@@ -51,6 +55,53 @@ def test_vocabulary_in_text(spark):
     assert got == [(1, 0, "Nora Bell Band"), (1, 1, "Nora Bell")]
 
 
+def test_runs_of_texts_are_not_broadcast(spark, tmp_path):
+    """Spark takes the runs for as small as the file of texts that they come from."""
+    path = str(tmp_path / "texts")
+    spark.range(2000).select("id", F.concat(F.repeat(F.lit("one two three "), 20), F.lit("Nora Bell")).alias("text")).write.parquet(path)
+    terms = learn.vocabulary(spark.createDataFrame([("Nora Bell", 3, 0), ("Long Name of Six Words here", 3, 1)], C), [])
+    found = learn.find_vocabulary(spark.read.parquet(path), [], terms, ["id"])
+    assert found.count() == 2000
+    assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def _brute(text, forms, max_terms, max_words):
+    words, out, i = re.findall("[a-z0-9]+", text.lower()), [], 0
+    while i < len(words):
+        n = next((n for n in range(min(max_words, len(words) - i), 0, -1) if " ".join(words[i : i + n]) in forms), 0)
+        out += [forms[" ".join(words[i : i + n])]] if n else []
+        i += n or 1
+    return list(dict.fromkeys(out))[:max_terms]
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_vocabulary_against_brute_force(spark, monkeypatch, most):
+    """With the starts of terms broadcast and shuffled; keys of another type than the texts', terms that overlap, glued ones, a limit of words."""
+    monkeypatch.setattr(learn, "BROADCAST_STARTS", most)
+    draw = random.Random(5)
+    some = lambda n: " ".join(draw.choice("ab cd ef gh ij".split()) for _ in range(n))
+    given = sorted({(k, some(draw.randint(2, 5))) for k in (1, 2) for _ in range(12)})
+    terms = spark.createDataFrame([(k, t, t.title()) for k, t in given], "k bigint, term string, value string")
+    texts = [(i, 1 + i % 3, some(draw.randint(0, 30)) + draw.choice([" abcd", " cdefgh.", "; IJ ab", " xx"]) + (" " + draw.choice(given)[1].replace(" ", ""))) for i in range(200)]
+    texts += [(200, 1, ""), (201, 1, None), (202, None, given[0][1])]
+    df = spark.createDataFrame(texts, "id int, k int, text string")
+    for max_words in (None, 3):
+        got = {}
+        for r in learn.find_vocabulary(df, ["k"], terms, ["id"], max_terms=3, max_words=max_words).orderBy("id", "pos").collect():
+            got.setdefault(r.id, []).append(r.value)
+        want = {}
+        for i, k, text in texts:
+            forms = {}
+            for key, t in given:
+                for form in (t, t.replace(" ", "")):
+                    if key == k:
+                        forms[form] = min(forms.get(form, t.title()), t.title())
+            if found := _brute(text or "", forms, 3, max_words or 5):
+                want[i] = found
+        assert got == want
+    assert learn.find_vocabulary(df, ["k"], terms.limit(0), ["id"]).count() == 0
+
+
 def test_components(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(e).collect()}
